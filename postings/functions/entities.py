@@ -1,7 +1,8 @@
 """HTML character references as a Column expression.
 
-The named table comes from the Python standard library and reaches the plan as
-one literal string, which the optimizer folds into one map literal.
+The named table comes from the Python standard library. It reaches the plan as one
+literal string, which the optimizer folds into one map; expressions that decode
+several texts bind :func:`names` once and pass it on, to keep the plan small.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def _windows_1252(code: int) -> str:
 
 
 # References 128..159 mean the Windows-1252 character.
-_C1 = [_windows_1252(code) for code in range(0x80, 0xA0)]
+_C1 = "".join(_windows_1252(code) for code in range(0x80, 0xA0))
 
 
 def _character(code: Column) -> Column:
@@ -46,29 +47,28 @@ def _character(code: Column) -> Column:
     utf32 = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     return (
         F.when(beyond, F.lit(_REPLACEMENT))
-        .when(code.between(0x80, 0x9F), F.get(F.array(*map(F.lit, _C1)), (code - 0x80).cast("int")))
+        .when(code.between(0x80, 0x9F), F.substring(F.lit(_C1), (code - 0x7F).cast("int"), F.lit(1)))
         .when(unprintable, F.lit(""))
         .otherwise(utf32)
     )
 
 
 def _numeric(tail: Column) -> Column:
-    def expand(digits: Column, base: int, pattern: str) -> Column:
-        number = digits if base == 10 else F.conv(digits, base, 10)
-        rest = F.regexp_replace(tail, pattern, "")
-        return F.concat(_character(number.try_cast("bigint")), rest)
+    pattern = r"^#(?:([0-9]+)|[xX]([0-9a-fA-F]+));?"
+    decimal, hexadecimal = F.regexp_extract(tail, pattern, 1), F.regexp_extract(tail, pattern, 2)
+    number = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(decimal)
+    return F.when(
+        tail.rlike(pattern),
+        F.concat(let(number.try_cast("bigint"), _character), F.regexp_replace(tail, pattern, "")),
+    ).otherwise(F.concat(F.lit("&"), tail))
 
-    decimal, hexadecimal = r"^#([0-9]+);?", r"^#[xX]([0-9a-fA-F]+);?"
-    return (
-        F.when(tail.rlike(decimal), expand(F.regexp_extract(tail, decimal, 1), 10, decimal))
-        .when(tail.rlike(hexadecimal), expand(F.regexp_extract(tail, hexadecimal, 1), 16, hexadecimal))
-        .otherwise(F.concat(F.lit("&"), tail))
-    )
 
+def names() -> Column:
+    """The table of named references as a map."""
+    return F.str_to_map(F.lit(_TABLE), F.lit(_PAIR), F.lit(_KEY))
 
-def _named(tail: Column) -> Column:
-    table = F.str_to_map(F.lit(_TABLE), F.lit(_PAIR), F.lit(_KEY))
 
+def _named(tail: Column, table: Column) -> Column:
     def after(name: Column) -> Column:
         return F.substring(tail, F.length(name) + 1, F.length(tail))
 
@@ -85,21 +85,20 @@ def _named(tail: Column) -> Column:
             F.concat(F.try_element_at(table, prefix), after(prefix))
         )
 
-    # The three references nearly all pages use, ahead of the table lookup.
-    return (
-        F.when(tail.startswith("amp;"), F.concat(F.lit("&"), F.substring(tail, F.lit(5), F.length(tail))))
-        .when(tail.startswith("lt;"), F.concat(F.lit("<"), F.substring(tail, F.lit(4), F.length(tail))))
-        .when(tail.startswith("gt;"), F.concat(F.lit(">"), F.substring(tail, F.lit(4), F.length(tail))))
-        .otherwise(let(F.regexp_extract(tail, _NAME, 0), by_name))
+    # The reference nearly all pages use, ahead of the table lookup.
+    return F.when(tail.startswith("amp;"), F.concat(F.lit("&"), F.substring(tail, F.lit(5), F.length(tail)))).otherwise(
+        let(F.regexp_extract(tail, _NAME, 0), by_name)
     )
 
 
-def unescape(text: Column) -> Column:
+def unescape(text: Column, table: Column | None = None) -> Column:
     """Replace named and numeric character references once, as HTML5 defines them."""
+    if table is None:
+        return let(names(), lambda bound: unescape(text, bound))
 
     def expand(parts: Column) -> Column:
         tails = F.slice(parts, 2, F.size(parts))
-        decoded = F.transform(tails, lambda t: F.when(t.startswith("#"), _numeric(t)).otherwise(_named(t)))
+        decoded = F.transform(tails, lambda t: F.when(t.startswith("#"), _numeric(t)).otherwise(_named(t, table)))
         return F.concat(F.get(parts, F.lit(0)), F.array_join(decoded, ""))
 
     return F.when(text.contains("&"), let(F.split(text, "&"), expand)).otherwise(text)

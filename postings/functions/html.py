@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import entities
 from .entities import unescape
 from .text import collapse, first_non_empty, let, listing_title, or_empty
 from .urls import base_parts, host_allowed, resolve
@@ -39,17 +40,21 @@ LINK_ITEM = "struct<pos:int,title:string,url:string,content:string,published:str
 
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles."""
-    return F.regexp_replace(html, _HIDDEN, " ")
+    return F.regexp_replace(or_empty(html), _HIDDEN, " ")
 
 
-def _text(markup: Column) -> Column:
+def _text(markup: Column, names: Column) -> Column:
     """Text of a fragment: tags become spaces, references are decoded, blanks collapsed."""
-    return collapse(unescape(F.regexp_replace(markup, _TAG, " ")))
+    return collapse(unescape(F.regexp_replace(markup, _TAG, " "), names))
 
 
 def anchors(html: Column) -> Column:
     """All closed links of a page: ``array<struct<pos,href,text>>`` in page order."""
-    closed = F.regexp_replace(visible(or_empty(html)), _SELF_CLOSED, "$1></a>")
+    return let(entities.names(), lambda names: _anchors(visible(html), names))
+
+
+def _anchors(page: Column, names: Column) -> Column:
+    closed = F.regexp_replace(page, _SELF_CLOSED, "$1></a>")
     # The piece after the last end tag belongs to no closed anchor.
     pieces = let(F.split(closed, _ANCHOR_END), lambda p: F.slice(p, F.lit(1), F.size(p) - 1))
     opened = F.filter(
@@ -62,55 +67,84 @@ def anchors(html: Column) -> Column:
         href = F.concat(*(F.regexp_extract(tail, _OPEN, group) for group in (1, 2, 3)))
         body = F.regexp_replace(tail, r"(?is)^" + _OPEN_TO_HREF + _VALUE + _REST_OF_TAG, "")
         # Anchor text is decoded by the page parser and once more as text.
-        return F.struct(x["pos"], unescape(href).alias("href"), unescape(_text(body)).alias("text"))
+        return F.struct(
+            x["pos"], unescape(href, names).alias("href"), unescape(_text(body, names), names).alias("text")
+        )
 
     return F.transform(opened, link)
 
 
 def page_title(html: Column) -> Column:
     """Text of the last title element, empty if there is none."""
-    found = F.regexp_extract_all(visible(or_empty(html)), F.lit(_TITLE), F.lit(1))
-    return let(found, lambda t: F.when(F.size(t) > 0, _text(F.element_at(t, -1))).otherwise(F.lit("")))
+    return let(entities.names(), lambda names: _title(visible(html), names))
+
+
+def _title(page: Column, names: Column) -> Column:
+    found = F.regexp_extract_all(page, F.lit(_TITLE), F.lit(1))
+    return let(found, lambda t: F.when(F.size(t) > 0, _text(F.element_at(t, -1), names)).otherwise(F.lit("")))
 
 
 def first_of_each(items: Column, key: str) -> Column:
     """Keep the first item (lowest ``pos``) per value of ``key``, inside the row.
 
-    Sorting the array costs n log n and, unlike a window, no shuffle.
+    Sorting the array costs n log n and, unlike a window, no shuffle. ``pos`` must be
+    the first field of the items, whose order is restored by it.
     """
     keyed = F.sort_array(F.transform(items, lambda x: F.struct(x[key].alias("key"), x["pos"].alias("pos"), x.alias("item"))))
     firsts = let(
         keyed,
         lambda s: F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["key"] != x["key"])),
     )
-    return F.transform(firsts, lambda x: x["item"])
+    return F.sort_array(F.transform(firsts, lambda x: x["item"]))
 
 
 def resolved_anchors(html: Column, base: Column) -> Column:
     """Anchors with their absolute URL: ``array<struct<pos,url,text>>``."""
+    return _resolved(anchors(html), base)
+
+
+def _resolved(found: Column, base: Column) -> Column:
     return let(
         base_parts(base),
         lambda b: F.transform(
-            anchors(html),
-            lambda a: F.struct(a["pos"], resolve(b, a["href"]).alias("url"), a["text"]),
+            found, lambda a: F.struct(a["pos"], resolve(b, a["href"]).alias("url"), a["text"])
         ),
     )
 
 
-def _items(links: Column, title, content) -> Column:
-    def item(link: Column) -> Column:
+def link_items(
+    html: Column,
+    base: Column,
+    domains: Sequence[str] | Column,
+    is_listing: Column | None = None,
+    pattern: str = LISTING_URL,
+) -> Column:
+    """Result items of a page as of :func:`page_links`, or where ``is_listing`` of :func:`listing_links`."""
+    is_listing = F.lit(False) if is_listing is None else is_listing
+
+    def wanted(link: Column) -> Column:
+        return F.when(is_listing, link["url"].rlike(pattern)).otherwise(host_allowed(link["url"], domains))
+
+    def item(link: Column, page_title: Column) -> Column:
         return let(
-            title(link),
-            lambda t: F.struct(
-                link["pos"],
-                t.alias("title"),
-                link["url"],
-                content(t).alias("content"),
-                F.lit("").alias("published"),
+            first_non_empty(link["text"], page_title, link["url"]),
+            lambda text: let(
+                F.when(is_listing, listing_title(text)).otherwise(text),
+                lambda title: F.struct(
+                    link["pos"],
+                    title.alias("title"),
+                    link["url"],
+                    F.when(is_listing, title).otherwise(F.concat(page_title, F.lit(" "), title)).alias("content"),
+                    F.lit("").alias("published"),
+                ),
             ),
         )
 
-    return F.transform(links, item)
+    def items(page: Column, names: Column) -> Column:
+        links = first_of_each(F.filter(_resolved(_anchors(page, names), base), wanted), "url")
+        return let(_title(page, names), lambda title: F.transform(links, lambda link: item(link, title)))
+
+    return let(entities.names(), lambda names: let(visible(html), lambda page: items(page, names)))
 
 
 def page_links(html: Column, base: Column, domains: Sequence[str] | Column) -> Column:
@@ -119,25 +153,12 @@ def page_links(html: Column, base: Column, domains: Sequence[str] | Column) -> C
     The title falls back from the link text to the page title to the URL, and the
     content is the page title followed by the title.
     """
-    links = F.filter(resolved_anchors(html, base), lambda a: host_allowed(a["url"], domains))
-    return let(
-        page_title(html),
-        lambda page: _items(
-            first_of_each(links, "url"),
-            lambda a: first_non_empty(a["text"], page, a["url"]),
-            lambda title: F.concat(page, F.lit(" "), title),
-        ),
-    )
+    return link_items(html, base, domains)
 
 
 def listing_links(html: Column, base: Column, pattern: str = LISTING_URL) -> Column:
-    """Result items of a listing page: links whose URL matches, with cleaned titles."""
-    links = F.filter(resolved_anchors(html, base), lambda a: a["url"].rlike(pattern))
-    return let(
-        page_title(html),
-        lambda page: _items(
-            first_of_each(links, "url"),
-            lambda a: listing_title(first_non_empty(a["text"], page, a["url"])),
-            lambda title: title,
-        ),
-    )
+    """Result items of a listing page: links whose URL matches, with cleaned titles.
+
+    The host is not tested here and the content is the title.
+    """
+    return link_items(html, base, (), F.lit(True), pattern)

@@ -28,10 +28,12 @@ def flag_first(
     ``order``, the rank has no ties. Ineligible rows never claim a key. The input is
     computed twice, once with the key and order columns only, so start from stored rows.
     """
+    # A condition inside the aggregate, not a filter below it: the optimizer would push a
+    # filter through every projection and compute what it tests once more per mention.
     firsts = (
-        rows.where(eligible)
-        .groupBy(*keys)
-        .agg(F.min(F.struct(*order)).alias("first"))
+        rows.groupBy(*keys)
+        .agg(F.min(F.when(eligible, F.struct(*order))).alias("first"))
+        .where(F.col("first").isNotNull())
         .select(*(F.col("first")[name].alias(name) for name in row_key), F.lit(True).alias(flag))
     )
     flagged = rows.join(firsts, list(row_key), "left")

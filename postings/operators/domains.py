@@ -30,8 +30,8 @@ def salted_semi_join(
     ``salt_by`` columns; the distinct right keys are repeated for each share.
     """
     salted = left.withColumn("salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
-    shares = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = right.select(key).distinct().select(key, shares.cast("bigint").alias("salt"))
+    shares = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    repeated = right.select(key).distinct().select(key, shares.alias("salt"))
     return salted.join(repeated, [key, "salt"], "left_semi").drop("salt")
 
 

@@ -23,6 +23,7 @@ from ..functions.searches import (
     search_url,
 )
 from ..settings import Provider
+from ..sources.scans import unnest
 
 
 def _texts(prefix: str, trimmed: bool) -> Column:
@@ -31,6 +32,19 @@ def _texts(prefix: str, trimmed: bool) -> Column:
     )
 
 
+def _unnest_texts(searches: DataFrame, per_provider: Column, texts: str, name: str) -> DataFrame:
+    """One row per provider and text, numbered within the provider."""
+    numbered = F.flatten(
+        F.transform(
+            per_provider,
+            lambda p: F.transform(
+                p[texts], lambda t, i: F.struct(p["provider"].alias("provider"), i.alias("pos"), t.alias(name))
+            ),
+        )
+    )
+    return unnest(searches, ["search_id"], numbered).withColumnRenamed("pos", "query_ord")
+
+
 def expand_queries(
     searches: DataFrame, providers: Sequence[Provider], site_filters: Sequence[str] = ()
 ) -> DataFrame:
@@ -55,9 +69,7 @@ def expand_queries(
             for p in providers
         )
     )
-    exploded = searches.select("search_id", F.inline(per_provider)).select(
-        "search_id", "provider", F.posexplode("queries").alias("query_ord", "query")
-    )
+    exploded = _unnest_texts(searches, per_provider, "queries", "query")
     url = F
     for p in providers:
         url = url.when(F.col("provider") == p.name, search_url(p.feed_endpoint, F.col("query"), "q", p.feed_parameters))
@@ -99,6 +111,4 @@ def expand_page_urls(searches: DataFrame, providers: Sequence[Provider]) -> Data
             if p.name in PAGE_URLS
         )
     )
-    return searches.select("search_id", F.inline(per_provider)).select(
-        "search_id", "provider", F.posexplode("urls").alias("query_ord", "url")
-    )
+    return _unnest_texts(searches, per_provider, "urls", "url")

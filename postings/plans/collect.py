@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.feeds import parse_feed
-from ..functions.html import listing_links, page_links
+from ..functions.html import link_items
 from ..functions.responses import BAD_XML, feed_error, html_error
 from ..operators.providers import (
     allowlist,
@@ -20,6 +20,7 @@ from ..operators.providers import (
     run_order,
 )
 from ..settings import HTML, RSS, RunSettings
+from ..sources.scans import unnest
 
 QUARANTINE_BODY_CHARS = 1000
 
@@ -56,11 +57,17 @@ def collect_responses(responses: DataFrame, settings: RunSettings) -> DataFrame:
     )
 
     usable = F.col("response_error").isNull()
-    pages = page_links(F.col("body"), F.col("request_url"), F.col("domains"))
-    for p in settings.providers:
-        if p.listing_pattern:
-            listing = listing_links(F.col("body"), F.col("request_url"), p.listing_pattern)
-            pages = F.when(provider == p.name, listing).otherwise(pages)
+    listed = [p for p in settings.providers if p.listing_pattern]
+    patterns = {p.listing_pattern for p in listed}
+    if len(patterns) > 1:
+        raise ValueError("listing providers must share one pattern")
+    pages = link_items(
+        F.col("body"),
+        F.col("request_url"),
+        F.col("domains"),
+        provider.isin(*(p.name for p in listed)),
+        *patterns,
+    )
     scanned = checked.withColumn(
         "scan",
         F.when(usable & (mode == RSS), parse_feed(F.col("body"))).when(
@@ -115,4 +122,6 @@ def payload_input(collected: DataFrame) -> DataFrame:
 
 def explode_items(collected: DataFrame) -> DataFrame:
     """One row per item with its place in run order."""
-    return collected.select("provider", "provider_ord", "mode_ord", "query_ord", "response_id", F.inline("items"))
+    return unnest(
+        collected, ("provider", "provider_ord", "mode_ord", "query_ord", "response_id"), F.col("items")
+    )

@@ -101,9 +101,12 @@ def derive(collected: DataFrame, settings: RunSettings, store=lambda df, name: d
     )
 
 
-def plan_ingest(responses: DataFrame, settings: RunSettings) -> Outputs:
-    """The run as lazy DataFrames, without writing anything."""
-    return derive(collect_responses(responses, settings), settings)
+def plan_ingest(responses: DataFrame, settings: RunSettings, store=lambda df, name: df) -> Outputs:
+    """The outputs of a run, without publishing any table.
+
+    With ``store=materialize`` the response bodies are read once for all outputs.
+    """
+    return derive(store(collect_responses(responses, settings), "collected"), settings)
 
 
 def check_run(bronze_count: int, silver_count: int) -> None:
@@ -114,7 +117,7 @@ def check_run(bronze_count: int, silver_count: int) -> None:
         raise EmptyRun("no silver rows: all results were rejected")
 
 
-def _batch_size(batch: DataFrame) -> int:
+def batch_bytes(batch: DataFrame) -> int:
     """Bytes of text in a batch, as a bound for broadcasting it."""
     texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in batch.columns if batch.schema[c].dataType.typeName() == "string"]
     return batch.agg(F.coalesce(F.sum(sum(texts, F.lit(64))), F.lit(0))).first()[0]
@@ -134,7 +137,7 @@ def run_ingest(spark: SparkSession, responses: DataFrame, tables: Tables, settin
     totals = outputs.totals.first()
     check_run(totals["bronze_rows"], totals["silver_rows"])
 
-    small = _batch_size(batch) <= settings.broadcast_bytes
+    small = batch_bytes(batch) <= settings.broadcast_bytes
     merged = upsert(read_silver(spark, tables), batch, SILVER_KEYS, SILVER_KEPT, small_batch=small)
     publish(merged, tables.silver, settings.run_id, bucket_by=SILVER_KEYS, buckets=settings.silver_buckets)
     publish(gold_rows(read_silver(spark, tables), settings.min_rate), tables.gold, settings.run_id, sort_by=["hourly_max"])

@@ -15,9 +15,18 @@ from ..functions import html as html_functions
 from ..schemas import PAYLOAD
 
 
+def unnest(df: DataFrame, keep: Sequence[str], items: Column) -> DataFrame:
+    """One row per struct of the array ``items``.
+
+    The outer form with a filter behind it, because for the inner form the optimizer
+    adds tests of the array before the step and so computes it up to three times.
+    """
+    return df.select(*keep, F.inline_outer(items)).where(F.col("pos").isNotNull())
+
+
 def scan_anchors(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
     """One row per closed link: ``pos, href, text``."""
-    return pages.select(*keep, F.inline(html_functions.anchors(F.col(html))))
+    return unnest(pages, keep, html_functions.anchors(F.col(html)))
 
 
 def scan_titles(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
@@ -28,8 +37,7 @@ def scan_page_links(
     pages: DataFrame, keep: Sequence[str], domains: Sequence[str] | Column, html: str = "html", base: str = "url"
 ) -> DataFrame:
     """One row per result link of a page: ``pos, title, url, content, published``."""
-    items = html_functions.page_links(F.col(html), F.col(base), domains)
-    return pages.select(*keep, items.alias("items")).select(*keep, F.inline("items"))
+    return unnest(pages, keep, html_functions.page_links(F.col(html), F.col(base), domains))
 
 
 def scan_listing_links(
@@ -40,14 +48,12 @@ def scan_listing_links(
     base: str = "url",
 ) -> DataFrame:
     """One row per listing link of a page: ``pos, title, url, content, published``."""
-    items = html_functions.listing_links(F.col(html), F.col(base), pattern)
-    return pages.select(*keep, items.alias("items")).select(*keep, F.inline("items"))
+    return unnest(pages, keep, html_functions.listing_links(F.col(html), F.col(base), pattern))
 
 
 def scan_feeds(feeds: DataFrame, keep: Sequence[str], xml: str = "xml") -> DataFrame:
     """One row per feed item, RSS items before Atom entries; malformed feeds give none."""
-    parsed = feeds.select(*keep, feed_functions.parse_feed(F.col(xml))["items"].alias("items"))
-    return parsed.select(*keep, F.inline("items"))
+    return unnest(feeds, keep, feed_functions.parse_feed(F.col(xml))["items"])
 
 
 def read_rss_files(spark: SparkSession, path: str) -> DataFrame:
@@ -68,10 +74,12 @@ def read_rss_files(spark: SparkSession, path: str) -> DataFrame:
 def scan_payloads(bronze: DataFrame, keep: Sequence[str] = ("run_id", "source", "fetched_at")) -> DataFrame:
     """One row per stored result: ``payload_provider, payload_mode, allowed_domains, pos`` and the item."""
     parsed = bronze.select(*keep, F.from_json("response_json", PAYLOAD).alias("payload"))
-    return parsed.select(
+    named = parsed.select(
         *keep,
         F.col("payload.provider").alias("payload_provider"),
         F.col("payload.mode").alias("payload_mode"),
         F.col("payload.allowed_domains").alias("allowed_domains"),
-        F.posexplode("payload.results").alias("pos", "item"),
-    ).select(*keep, "payload_provider", "payload_mode", "allowed_domains", "pos", "item.*")
+        F.transform("payload.results", lambda item, i: F.struct(i.alias("pos"), item.alias("item"))).alias("results"),
+    )
+    described = (*keep, "payload_provider", "payload_mode", "allowed_domains")
+    return unnest(named, described, F.col("results")).select(*described, "pos", "item.*")
