@@ -27,10 +27,10 @@ HOURLY_HINTS = ("/h", "hour", "+ gst", "contract rate")
 # Bounds of a plausible hourly rate.
 LOWEST_RATE, HIGHEST_RATE = 50, 300
 
-_NUMBER = r"(\d{2,3}(?:\.\d+)?)"
-_MONEY = rf"(?:\${BLANK}*)?" + _NUMBER
-_RANGE = _MONEY + rf"{BLANK}*-{BLANK}*" + _MONEY
-_AMOUNT = rf"\$?{BLANK}*" + _NUMBER
+# A currency sign and blanks in front of a number never change which number is found,
+# so the patterns start at the digits.
+_AMOUNT = r"\d{2,3}(?:\.\d+)?"
+_RANGE = rf"({_AMOUNT}){BLANK}*-{BLANK}*(?:\${BLANK}*)?({_AMOUNT})"
 
 # Decimal digits of other scripts, folded to ASCII before parsing.
 _DIGITS = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
@@ -38,7 +38,8 @@ _FOLDED = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
 def _ascii_digits(text: Column) -> Column:
-    foreign = text.rlike(r"(?U)[\d&&[^0-9]]")
+    # Only texts with characters beyond ASCII pay for the search.
+    foreign = (F.octet_length(text) > F.length(text)) & text.rlike(r"(?U)[\d&&[^0-9]]")
     return F.when(foreign, F.translate(text, "".join(_DIGITS), _FOLDED)).otherwise(text)
 
 
@@ -66,22 +67,22 @@ def hourly_rate(text: Column) -> Column:
     none = rate(F.lit(None).cast("double"), F.lit(None).cast("double"))
 
     def numbers(t: Column) -> Column:
-        found = F.transform(F.regexp_extract_all(t, F.lit(_AMOUNT), F.lit(1)), _number)
+        found = F.transform(F.regexp_extract_all(t, F.lit(_AMOUNT), F.lit(0)), _number)
         return let(
             F.slice(F.filter(found, _plausible), 1, 2),
             lambda n: rate(F.array_min(n), F.array_max(n)),
         )
 
     def ranged(t: Column) -> Column:
-        ends = F.struct(
-            _number(F.regexp_extract(t, _RANGE, 1)).alias("a"), _number(F.regexp_extract(t, _RANGE, 2)).alias("b")
-        )
-        return let(
-            ends,
-            lambda e: F.when(
-                _plausible(e["a"]) & _plausible(e["b"]), rate(F.least(e["a"], e["b"]), F.greatest(e["a"], e["b"]))
-            ).otherwise(numbers(t)),
-        )
+        def by_first(a: Column) -> Column:
+            second = let(_number(F.regexp_extract(t, _RANGE, 2)), lambda b: by_both(a, b))
+            return F.when(_plausible(a), second).otherwise(numbers(t))
+
+        def by_both(a: Column, b: Column) -> Column:
+            return F.when(_plausible(b), rate(F.least(a, b), F.greatest(a, b))).otherwise(numbers(t))
+
+        first = let(_number(F.regexp_extract(t, _RANGE, 1)), by_first)
+        return F.when(t.contains("-"), first).otherwise(numbers(t))
 
     def hinted(t: Column) -> Column:
         hint = F.lit(False)

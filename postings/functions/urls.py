@@ -63,7 +63,7 @@ def host_in(host_name: Column, domains: Sequence[str] | Column) -> Column:
 
 def host_allowed(url: Column, domains: Sequence[str] | Column) -> Column:
     """Closed allowlist: an empty list allows nothing."""
-    return host_in(host(url), domains)
+    return let(host(url), lambda name: host_in(name, domains))
 
 
 def domain_allowed(url: Column, domains: Sequence[str] | Column) -> Column:
@@ -92,19 +92,25 @@ def is_tracking(name: Column) -> Column:
     return reduce(or_, tests)
 
 
+def _recoded(text: Column) -> Column:
+    """Decoded and encoded again, which leaves plain text as it is."""
+    return F.when(text.rlike(r"^[A-Za-z0-9_.~\-]*$"), text).otherwise(form_encode(form_decode(text)))
+
+
 def clean_query(query: Column) -> Column:
     """Drop tracking parameters and empty segments; re-encode the others in order."""
-    segments = F.filter(F.split(query, "&"), lambda s: s != "")
-    pairs = F.transform(
-        segments,
-        lambda s: let(
-            F.substring_index(s, "=", 1),
-            lambda name: F.struct(form_decode(name).alias("k"), form_decode(_after(s, name, 1)).alias("v")),
-        ),
-    )
-    kept = F.filter(pairs, lambda p: ~is_tracking(p["k"]))
-    encoded = F.transform(kept, lambda p: F.concat(form_encode(p["k"]), F.lit("="), form_encode(p["v"])))
-    return F.when(query == "", query).otherwise(F.array_join(encoded, "&"))
+
+    def pair(segment: Column) -> Column:
+        return let(
+            F.substring_index(segment, "=", 1),
+            lambda name: F.when(
+                ~is_tracking(F.when(name.rlike("[%+]"), form_decode(name)).otherwise(name)),
+                F.concat(_recoded(name), F.lit("="), _recoded(_after(segment, name, 1))),
+            ),
+        )
+
+    pairs = F.transform(F.split(query, "&"), lambda s: F.when(s != "", pair(s)))
+    return F.array_join(pairs, "&")  # leaves out NULL
 
 
 # --- whole URLs -----------------------------------------------------------
@@ -113,6 +119,7 @@ def clean_query(query: Column) -> Column:
 def _join(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column) -> Column:
     """Put the parts together, each separator only where its part is non-empty."""
     rooted = F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
+    # Both tests below are for URLs without a host, which are rare.
     needs_slashes = path.startswith("//") | (
         (scheme != "") & scheme.isin(*SCHEMES_WITH_HOST) & ((path == "") | path.startswith("/"))
     )
@@ -133,6 +140,15 @@ def _bracketed_host_is_broken(authority: Column) -> Column:
     return authority.contains("[") != authority.contains("]")
 
 
+def _scheme(prefix: Column) -> Column:
+    named = prefix.contains(":") & ~prefix.startswith("//")
+    return F.when(named, F.lower(F.substring_index(prefix, ":", 1))).otherwise(F.lit(""))
+
+
+def _authority(prefix: Column) -> Column:
+    return F.when(prefix.contains("//"), F.substring_index(prefix, "//", -1)).otherwise(F.lit(""))
+
+
 def canonical_url(url: Column) -> Column:
     """Canonical form used for de-duplication.
 
@@ -140,21 +156,48 @@ def canonical_url(url: Column) -> Column:
     parameters and the fragment are dropped. NULL, blank and unparsable URLs give
     the empty string.
     """
-    readable = _readable(strip(or_empty(url)))
-    whole = F.substring_index(readable, "#", 1)
-    head = F.substring_index(whole, "?", 1)
-    query = _after(whole, head, 1)
-    prefix = F.regexp_extract(head, _PREFIX, 0)
-    scheme = F.lower(F.regexp_extract(prefix, _SCHEME, 1))
-    authority = F.lower(F.regexp_extract(prefix, "//(.*)$", 1))
-    path = _after(head, prefix)
-    path = F.when(
-        path.contains(";") & scheme.isin(*SCHEMES_WITH_PARAMETERS), F.regexp_replace(path, ";[^/]*$", "")
-    ).otherwise(path)
-    path = F.rtrim(path, F.lit("/"))
-    joined = _join(scheme, authority, path, clean_query(query), F.lit(""))
-    empty = (readable == "") | _bracketed_host_is_broken(authority)
-    return F.when(empty, F.lit("")).otherwise(joined)
+
+    def split(readable: Column) -> Column:
+        return let(
+            F.substring_index(readable, "#", 1),
+            lambda whole: let(
+                F.substring_index(whole, "?", 1),
+                lambda head: let(
+                    F.regexp_extract(head, _PREFIX, 0), lambda prefix: locate(whole, head, prefix)
+                ),
+            ),
+        )
+
+    def locate(whole: Column, head: Column, prefix: Column) -> Column:
+        parts = F.struct(
+            _scheme(prefix).alias("scheme"),
+            F.lower(_authority(prefix)).alias("authority"),
+            _after(head, prefix).alias("path"),
+            _after(whole, head, 1).alias("query"),
+        )
+        return let(parts, assemble)
+
+    def assemble(p: Column) -> Column:
+        # Segments may end in ;parameters, which go only where the scheme has them.
+        bare = F.when(
+            p["path"].contains(";") & p["scheme"].isin(*SCHEMES_WITH_PARAMETERS),
+            F.regexp_replace(p["path"], ";[^/]*$", ""),
+        ).otherwise(p["path"])
+        joined = let(
+            F.rtrim(bare, F.lit("/")),
+            lambda path: _join(p["scheme"], p["authority"], path, F.lit(""), F.lit("")),
+        )
+        kept = let(
+            clean_query(p["query"]),
+            lambda query: F.when(query == "", query).otherwise(F.concat(F.lit("?"), query)),
+        )
+        whole = F.when(p["query"] == "", joined).otherwise(F.concat(joined, kept))
+        return F.when(_bracketed_host_is_broken(p["authority"]), F.lit("")).otherwise(whole)
+
+    return let(
+        _readable(strip(or_empty(url))),
+        lambda readable: F.when(readable == "", readable).otherwise(split(readable)),
+    )
 
 
 def base_parts(base: Column) -> Column:
@@ -191,11 +234,11 @@ def _without_dots(path: Column) -> Column:
         return F.array_join(F.when(ends_in_dots, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
 
     dotted = path.rlike(r"(?:^|/)\.\.?(?:/|$)")
-    return F.when(dotted, first_slash(let(F.split(path, "/"), walk))).otherwise(path)
+    return F.when(dotted, let(F.split(path, "/"), walk)).otherwise(path)
 
 
 def first_slash(path: Column) -> Column:
-    return F.when(path == "", F.lit("/")).otherwise(path)
+    return F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))
 
 
 def resolve(base: Column, href: Column) -> Column:
@@ -215,58 +258,53 @@ def resolve(base: Column, href: Column) -> Column:
         & (base["authority"] != "")
     )
 
-    def relative(rest: Column) -> Column:
+    def parsed(readable: Column) -> Column:
         return let(
-            F.substring_index(rest, "#", 1),
-            lambda whole: let(
-                F.substring_index(whole, "?", 1),
-                lambda path: _on_base(base, path, _after(whole, path, 1), _after(rest, whole, 1)),
+            F.regexp_extract(readable, _SCHEME, 1),
+            lambda scheme: F.when((scheme != "") & (F.lower(scheme) != base["scheme"]), href).otherwise(
+                let(F.when(scheme != "", _after(readable, scheme, 1)).otherwise(readable), cut)
             ),
         )
 
-    def absolute(rest: Column) -> Column:
+    def cut(rest: Column) -> Column:
         return let(
             F.substring_index(rest, "#", 1),
-            lambda whole: let(
-                F.substring_index(whole, "?", 1),
-                lambda head: let(
-                    F.regexp_extract(head, "^//([^/]*)", 1),
-                    lambda authority: _join(
-                        base["scheme"],
-                        authority,
-                        _after(head, authority, 2),
-                        _after(whole, head, 1),
-                        _after(rest, whole, 1),
-                    ),
-                ),
-            ),
+            lambda whole: let(F.substring_index(whole, "?", 1), lambda head: parts(rest, whole, head)),
         )
 
-    def parsed(readable: Column) -> Column:
+    def parts(rest: Column, whole: Column, head: Column) -> Column:
         return let(
-            F.regexp_extract(readable, _SCHEME, 1),
-            lambda scheme: F.when((scheme != "") & (F.lower(scheme) != base["scheme"]), href).otherwise(
-                let(
-                    F.when(scheme != "", _after(readable, scheme, 1)).otherwise(readable),
-                    lambda rest: F.when(rest.rlike("^//[^/?#]"), absolute(rest)).otherwise(relative(rest)),
-                )
+            F.regexp_extract(head, "^//([^/]+)", 1),
+            lambda given: let(
+                F.when(given != "", _after(head, given, 2)).otherwise(head),
+                lambda path: _on_base(base, given, path, _after(whole, head, 1), _after(rest, whole, 1)),
             ),
         )
 
     return F.when(plain, F.concat(origin, href)).otherwise(let(_readable(href), parsed))
 
 
-def _on_base(base: Column, path: Column, query: Column, fragment: Column) -> Column:
-    rooted = path.startswith("/")
+def _on_base(base: Column, given: Column, path: Column, query: Column, fragment: Column) -> Column:
+    """Complete the parts of a link; ``given`` is its own host, or empty."""
     # Empty segments disappear when a relative path is appended, except at the ends.
     appended = F.regexp_replace(F.concat(base["folder"], path), "/{2,}", "/")
+    as_written = (given != "") | (path == "")
     target = (
-        F.when(path == "", base["path"])
-        .when(rooted, first_slash(_without_dots(path)))
-        .otherwise(first_slash(_without_dots(appended)))
+        F.when(given != "", path)
+        .when(path == "", base["path"])
+        .when(path.startswith("/"), path)
+        .otherwise(appended)
+    )
+    settled = let(target, lambda t: F.when(as_written, t).otherwise(first_slash(_without_dots(t))))
+    authority = F.when(given != "", given).otherwise(base["authority"])
+    inherits = (given == "") & (path == "") & (query == "")
+    rest = F.struct(
+        settled.alias("path"),
+        authority.alias("authority"),
+        F.when(inherits, base["query"]).otherwise(query).alias("query"),
+        fragment.alias("fragment"),
     )
-    target_query = F.when((path == "") & (query == ""), base["query"]).otherwise(query)
-    return _join(base["scheme"], base["authority"], target, target_query, fragment)
+    return let(rest, lambda r: _join(base["scheme"], r["authority"], r["path"], r["query"], r["fragment"]))
 
 
 def resolve_url(base: Column, href: Column) -> Column:

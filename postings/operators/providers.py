@@ -14,7 +14,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import domain_allowed
+from ..functions.text import let
+from ..functions.urls import host, host_in
 from ..settings import MODES, Provider
 
 MISSING_URL = "missing url"
@@ -66,17 +67,22 @@ def allowlist(providers: Sequence[Provider], site_filters: Sequence[str], provid
 
 
 def result_url_allowed(providers: Sequence[Provider], provider: Column, url: Column) -> Column:
-    """The provider's domain and path rules for result URLs."""
-    lowered = F.lower(url)
+    """The provider's domain and path rules for result URLs.
 
-    def rule(p: Provider) -> Column:
-        tests = [domain_allowed(url, p.domains or ())]
-        if p.any_of:
-            tests.append(reduce(or_, (lowered.contains(part) for part in p.any_of)))
-        tests += [lowered.contains(part) for part in p.all_of]
-        return reduce(and_, tests)
+    A provider without domains of its own allows every result here.
+    """
 
-    return _by_provider(providers, rule, provider).otherwise(F.lit(True))
+    def rules(name: Column, lowered: Column) -> Column:
+        def rule(p: Provider) -> Column:
+            tests = [host_in(name, p.domains) if p.domains else F.lit(True)]
+            if p.any_of:
+                tests.append(reduce(or_, (lowered.contains(part) for part in p.any_of)))
+            tests += [lowered.contains(part) for part in p.all_of]
+            return reduce(and_, tests)
+
+        return _by_provider(providers, rule, provider).otherwise(F.lit(True))
+
+    return let(host(url), lambda name: let(F.lower(url), lambda lowered: rules(name, lowered)))
 
 
 def provider_reject_reason(providers: Sequence[Provider], provider: Column, url: Column) -> Column:

@@ -26,7 +26,16 @@ from ..operators.upsert import upsert
 from ..schemas import SILVER, SILVER_KEPT, SILVER_KEYS
 from ..session import materialize
 from ..settings import RunSettings
-from ..sinks.tables import Tables, append_bronze, publish, read_silver
+from ..sinks.tables import (
+    Tables,
+    append_bronze,
+    current_version,
+    holds_run,
+    is_published,
+    publish,
+    read_silver,
+)
+from ..sources.scans import scan_payloads
 from .collect import collect_responses, explode_items, payload_input, quarantine
 
 PROVIDER_STAGE, INGEST_STAGE = "provider", "ingest"
@@ -119,7 +128,8 @@ def check_run(bronze_count: int, silver_count: int) -> None:
 
 def batch_bytes(batch: DataFrame) -> int:
     """Bytes of text in a batch, as a bound for broadcasting it."""
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in batch.columns if batch.schema[c].dataType.typeName() == "string"]
+    strings = [f.name for f in batch.schema.fields if f.dataType.typeName() == "string"]
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in strings]
     return batch.agg(F.coalesce(F.sum(sum(texts, F.lit(64))), F.lit(0))).first()[0]
 
 
@@ -128,26 +138,40 @@ def run_ingest(spark: SparkSession, responses: DataFrame, tables: Tables, settin
 
     Response bodies are read once, into a table of collected items. Bronze is written
     before the gates, so that a run whose results are all rejected keeps its payloads.
+    A run that stopped half way can be repeated under the same id: steps that it had
+    finished are left out.
     """
     collected = materialize(collect_responses(responses, settings), "collected")
     outputs = derive(collected, settings, store=materialize)
-    append_bronze(outputs.bronze, tables)
-    batch = materialize(outputs.batch, "batch")
+    if not holds_run(spark, tables, settings.run_id, settings.fetched_at.date()):
+        append_bronze(outputs.bronze, tables)
 
     totals = outputs.totals.first()
     check_run(totals["bronze_rows"], totals["silver_rows"])
 
-    small = batch_bytes(batch) <= settings.broadcast_bytes
-    merged = upsert(read_silver(spark, tables), batch, SILVER_KEYS, SILVER_KEPT, small_batch=small)
-    publish(merged, tables.silver, settings.run_id, bucket_by=SILVER_KEYS, buckets=settings.silver_buckets)
-    publish(gold_rows(read_silver(spark, tables), settings.min_rate), tables.gold, settings.run_id, sort_by=["hourly_max"])
+    if not is_published(spark, tables.silver, settings.run_id):
+        batch = materialize(outputs.batch, "batch")
+        small = batch_bytes(batch) <= settings.broadcast_bytes
+        target = read_silver(spark, tables)
+        # A bucketed target keeps its place; only a first load needs to be spread.
+        first_load = current_version(spark, tables.silver) is None
+        merged = upsert(target, batch, SILVER_KEYS, SILVER_KEPT, small_batch=small and not first_load)
+        publish(
+            merged,
+            tables.silver,
+            settings.run_id,
+            bucket_by=SILVER_KEYS,
+            buckets=settings.silver_buckets,
+            aligned=not first_load,
+        )
+    if not is_published(spark, tables.gold, settings.run_id):
+        gold = gold_rows(read_silver(spark, tables), settings.min_rate)
+        publish(gold, tables.gold, settings.run_id, sort_by=["hourly_max"])
     return outputs
 
 
 def rebuild_batch(bronze: DataFrame, settings: RunSettings) -> DataFrame:
     """The silver batch of stored bronze rows of one run, without the responses."""
-    from ..sources.scans import scan_payloads
-
     numbered = bronze.withColumn("response_id", F.xxhash64("run_id", "source", "query", "response_json"))
     items = scan_payloads(numbered, keep=("source", "response_id", "fetched_at"))
     position = {p.name: i for i, p in enumerate(settings.providers)}

@@ -54,11 +54,27 @@ def read_bronze(spark: SparkSession, tables: Tables) -> DataFrame:
     return spark.table(tables.bronze).select(*BRONZE.fieldNames(), "fetched_date")
 
 
+def holds_run(spark: SparkSession, tables: Tables, run_id: str, fetched_date) -> bool:
+    """Whether bronze already has the rows of a run; reads one date partition."""
+    if not spark.catalog.tableExists(tables.bronze):
+        return False
+    rows = spark.table(tables.bronze).where((F.col("fetched_date") == F.lit(fetched_date)) & (F.col("run_id") == run_id))
+    return not rows.select("run_id").isEmpty()
+
+
+def version_table(name: str, version: str) -> str:
+    return f"{name}__{re.sub(r'[^A-Za-z0-9]', '_', version)}"
+
+
 def current_version(spark: SparkSession, name: str) -> str | None:
     """The table that the view ``name`` shows now."""
     return spark.catalog.getTable(name).description if spark.catalog.tableExists(name) else None
 
 
+def is_published(spark: SparkSession, name: str, version: str) -> bool:
+    return current_version(spark, name) == version_table(name, version)
+
+
 def publish(
     df: DataFrame,
     name: str,
@@ -66,22 +82,25 @@ def publish(
     bucket_by: Sequence[str] = (),
     buckets: int = 0,
     sort_by: Sequence[str] = (),
+    aligned: bool = False,
 ) -> str:
     """Write ``df`` as a new version of ``name``, move the view to it, drop the old one.
 
     With ``bucket_by`` the version is bucketed and sorted on these columns, so that the
-    next upsert reads it without shuffling it. ``sort_by`` orders rows inside files,
-    which lets scans skip row groups.
+    next upsert reads it without shuffling it. Rows are first brought together by
+    bucket, unless they are ``aligned`` already, as the result of an upsert into a
+    bucketed version is. ``sort_by`` orders rows inside files, which lets scans skip
+    row groups.
     """
     spark = df.sparkSession
-    table = f"{name}__{re.sub(r'[^A-Za-z0-9]', '_', version)}"
+    table = version_table(name, version)
     before = current_version(spark, name)
     if before == table:
         raise ValueError(f"{name} already shows version {version}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     if bucket_by:
-        # Aligned with the buckets each task writes one file per bucket.
-        writer = df.repartition(buckets, *bucket_by).write.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+        rows = df if aligned else df.repartition(buckets, *bucket_by)
+        writer = rows.write.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     elif sort_by:
         writer = df.sortWithinPartitions(*sort_by).write
     else:

@@ -205,7 +205,7 @@ def sk2(spark, sf):
 )
 def sk3(spark, sf):
     store = new_tables(spark)
-    silver = fx.rate_silver(spark, sf)
+    silver = stored_silver(spark, sf)
     for version, rate in (("v1", 60), ("v2", 125)):
         sinks.publish(classify.gold_rows(silver, rate), store.gold, version, sort_by=["hourly_max"])
     return sinks.read_gold(spark, store)
@@ -304,7 +304,7 @@ def pr2(spark, sf):
 def page_results(spark, sf):
     """Page links as normalised results of five providers and two modes, in run order."""
     key = F.col("page_id")
-    items = sc6(spark, sf).select(
+    items = materialize(sc6(spark, sf), "links").select(
         key.alias("response_id"),
         key.alias("query_ord"),
         "pos",
@@ -359,6 +359,11 @@ def pr4(spark, sf):
     return classify.gold_rows(fx.event_target(spark, sf), 20)
 
 
+def stored_silver(spark, sf):
+    """The rate texts as a stored silver table, which filters and columns are pushed into."""
+    return materialize(fx.rate_silver(spark, sf), "silver")
+
+
 def report_columns(columns) -> str:
     return ", ".join(columns)
 
@@ -368,7 +373,7 @@ def report_columns(columns) -> str:
     query("rate_silver", select=f"SELECT {report_columns(reports.GOLD_REPORT)} FROM rate_silver WHERE hourly_max >= 125"),
 )
 def pr5(spark, sf):
-    return reports.gold_report(classify.gold_rows(fx.rate_silver(spark, sf), 125))
+    return reports.gold_report(classify.gold_rows(stored_silver(spark, sf), 125))
 
 
 @register(
@@ -376,7 +381,7 @@ def pr5(spark, sf):
     query("rate_silver", select=f"SELECT {report_columns(reports.GOLD_VIEW)} FROM rate_silver WHERE hourly_max >= 125"),
 )
 def pr5_view(spark, sf):
-    return reports.gold_view(classify.gold_rows(fx.rate_silver(spark, sf), 125))
+    return reports.gold_view(classify.gold_rows(stored_silver(spark, sf), 125))
 
 
 RECENT = """SELECT provider, scrape_mode, source, title, url, content, hourly_min, hourly_max, last_seen_at
@@ -508,7 +513,7 @@ def fi7(spark, sf):
     query("rate_silver", select="SELECT source, result_id, hourly_max FROM rate_silver WHERE hourly_max >= 125"),
 )
 def fi8(spark, sf):
-    return classify.gold_rows(fx.rate_silver(spark, sf), 125).select("source", "result_id", "hourly_max")
+    return classify.gold_rows(stored_silver(spark, sf), 125).select("source", "result_id", "hourly_max")
 
 
 @register(
@@ -833,7 +838,7 @@ def dd3(spark, sf):
     ),
 )
 def so1(spark, sf):
-    return reports.in_gold_order(classify.gold_rows(fx.rate_silver(spark, sf), 125))
+    return reports.in_gold_order(classify.gold_rows(stored_silver(spark, sf), 125))
 
 
 @register(
@@ -841,12 +846,12 @@ def so1(spark, sf):
     query("rate_silver", select=RECENT.format(25).replace("event_target", "rate_silver")),
 )
 def so2(spark, sf):
-    return reports.recent_report(fx.rate_silver(spark, sf), 25)
+    return reports.recent_report(stored_silver(spark, sf), 25)
 
 
 @register("so3_summary_order", query("rate_silver", select=SUMMARY.format("rate_silver") + " ORDER BY total_rows DESC"))
 def so3(spark, sf):
-    return reports.summary_report(fx.rate_silver(spark, sf))
+    return reports.summary_report(stored_silver(spark, sf))
 
 
 SAMPLE = "stage, source, reason, title, url, content"
