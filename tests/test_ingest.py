@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postings.operators.upsert import upsert
 from postings.plans import ingest, maintenance
 from postings.schemas import GOLD, RESPONSES, SILVER, SILVER_KEPT, SILVER_KEYS
-from postings.session import shared_folder
+from postings.session import materialize, shared_folder
 from postings.settings import RunSettings
 from postings.sinks import tables as sinks
 from postings.streaming.hourly import ingest_arrivals
@@ -70,9 +70,18 @@ def store(spark):
     return sinks.Tables(name)
 
 
-@pytest.mark.parametrize("partitions", [1, 5])
-def test_run_plan(spark, partitions):
-    out = ingest.plan_ingest(stored(spark, partitions=partitions), SETTINGS)
+@pytest.fixture(scope="module")
+def outputs(spark):
+    return ingest.plan_ingest(stored(spark), SETTINGS, store=materialize)
+
+
+def test_result_does_not_depend_on_partitions(spark, outputs):
+    one = ingest.plan_ingest(stored(spark, partitions=1), SETTINGS, store=materialize)
+    assert sorted(map(str, one.batch.collect())) == sorted(map(str, outputs.batch.collect()))
+
+
+def test_run_plan(outputs):
+    out = outputs
     batch = {(r["source"], r["url"]): r for r in out.batch.collect()}
     assert set(batch) == {
         ("seek", "https://www.seek.co.nz/job/1"),
@@ -109,16 +118,16 @@ def test_run_plan(spark, partitions):
     assert {tuple(r) for r in out.funnel.collect()} == {("seek", 4, 2), ("trademe", 1, 1), ("bing", 3, 1)}
 
 
-def test_accepted_and_rejected_are_all_results(spark):
-    out = ingest.plan_ingest(stored(spark), SETTINGS)
+def test_accepted_and_rejected_are_all_results(outputs):
+    out = outputs
     total = out.classified.count()
     accepted = out.classified.where("reason IS NULL")
     assert accepted.count() + out.rejected.where("stage = 'ingest'").count() == total
     assert accepted.select("clean_url").distinct().count() == accepted.count()
 
 
-def test_bronze_payload(spark):
-    out = ingest.plan_ingest(stored(spark), SETTINGS)
+def test_bronze_payload(outputs):
+    out = outputs
     payloads = {r["source"]: json.loads(r["response_json"]) for r in out.bronze.collect()}
     seek = payloads["seek"]
     assert seek["modes"] == ["rss", "html"] and seek["mode"] == "search"
@@ -142,13 +151,13 @@ def test_bronze_payload(spark):
 def test_payloads_of_a_large_provider_are_split(spark):
     rows = [response(i, "seek", "rss", i, f"https://feeds/{i}", SEEK_FEED) for i in range(10)]
     settings = replace(SETTINGS, responses_per_payload=3)
-    bronze = ingest.plan_ingest(stored(spark, rows), settings).bronze
+    bronze = ingest.plan_ingest(stored(spark, rows), settings, store=materialize).bronze
     sizes = sorted(len(json.loads(r["response_json"])["queries"]) for r in bronze.collect())
     assert sizes == [1, 3, 3, 3]
 
 
-def test_rebuild_from_bronze(spark):
-    out = ingest.plan_ingest(stored(spark), SETTINGS)
+def test_rebuild_from_bronze(outputs):
+    out = outputs
     rebuilt = ingest.rebuild_batch(out.bronze, SETTINGS)
     assert sorted(map(str, rebuilt.collect())) == sorted(map(str, out.batch.collect()))
 
@@ -253,8 +262,8 @@ def test_filters_and_columns_reach_the_scan(spark, store):
     assert "content" not in summary.split("ReadSchema")[1]
 
 
-def test_no_cross_joins_and_one_pass_over_bodies(spark):
-    out = ingest.plan_ingest(stored(spark), SETTINGS)
+def test_no_cross_joins_and_one_pass_over_bodies(spark, outputs):
+    out = outputs
     for df in (out.batch, out.bronze, out.rejected, out.totals):
         assert "Cartesian" not in plan_of(df) and "NestedLoop" not in plan_of(df)
     from postings.plans.collect import collect_responses
@@ -289,7 +298,7 @@ def test_hot_url_is_not_one_task(spark):
                  (f"t{i}", f"https://www.seek.co.nz/job/a{i}", "c"), (f"u{i}", f"https://www.seek.co.nz/job/b{i}", "c")))
         for i in range(200)
     ]
-    out = ingest.plan_ingest(stored(spark, feeds, 8), SETTINGS)
+    out = ingest.plan_ingest(stored(spark, feeds, 8), SETTINGS, store=materialize)
     plan = plan_of(out.classified)
     assert "Window" not in plan and "partial_min" in plan
     reasons = {r["reason"]: r["n"] for r in out.classified.groupBy("reason").agg(F.count("*").alias("n")).collect()}
