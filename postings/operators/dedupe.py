@@ -25,8 +25,9 @@ def flag_first(
     """Add ``flag``: True for the first eligible row of each key, else False.
 
     ``order`` ranks the rows; with ``row_key``, which must be unique and part of
-    ``order``, the rank has no ties. Ineligible rows never claim a key. The input is
-    computed twice, once with the key and order columns only, so start from stored rows.
+    ``order``, the rank has no ties. Keys are not NULL. Ineligible rows never claim a
+    key. The input is computed twice, once with the key and order columns only, so
+    start from stored rows.
     """
     # A condition inside the aggregate, not a filter below it: the optimizer would push a
     # filter through every projection and compute what it tests once more per mention.
@@ -34,9 +35,11 @@ def flag_first(
         rows.groupBy(*keys)
         .agg(F.min(F.when(eligible, F.struct(*order))).alias("first"))
         .where(F.col("first").isNotNull())
-        .select(*(F.col("first")[name].alias(name) for name in row_key), F.lit(True).alias(flag))
+        .select(*keys, *(F.col("first")[name].alias(name) for name in row_key), F.lit(True).alias(flag))
     )
-    flagged = rows.join(firsts, list(row_key), "left")
+    # The row key spreads the join; with the keys beside it a row meets at most one
+    # winner, so a row key that is not unique after all cannot multiply rows.
+    flagged = rows.join(firsts, [*row_key, *keys], "left").select(*rows.columns, flag)
     return flagged.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

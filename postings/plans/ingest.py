@@ -171,8 +171,12 @@ def run_ingest(spark: SparkSession, responses: DataFrame, tables: Tables, settin
 
 
 def rebuild_batch(bronze: DataFrame, settings: RunSettings) -> DataFrame:
-    """The silver batch of stored bronze rows of one run, without the responses."""
-    numbered = bronze.withColumn("response_id", F.xxhash64("run_id", "source", "query", "response_json"))
+    """The silver batch of stored bronze rows of one run, without the responses.
+
+    Run order is that of the payloads: provider, then position. Where a provider has
+    several payloads, their order among each other is fixed but not that of the run.
+    """
+    numbered = bronze.withColumn("response_id", F.sha2(F.concat_ws("|", "run_id", "query", "response_json"), 256))
     items = scan_payloads(numbered, keep=("source", "response_id", "fetched_at"))
     position = {p.name: i for i, p in enumerate(settings.providers)}
     order = F

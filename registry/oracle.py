@@ -23,11 +23,12 @@ def chain(expression: str, replacements) -> str:
 
 
 def decode(expression: str) -> str:
-    """The references that occur in the pages, decoded once."""
-    return chain(
-        expression,
-        (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")),
-    )
+    """The references that occur in the pages, decoded once; HTML allows these without ``;``."""
+    for name, character in (
+        ("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")
+    ):
+        expression = f"regexp_replace({expression}, '&{name};?', '{character}', 'g')"
+    return expression
 
 
 def collapse(expression: str) -> str:
