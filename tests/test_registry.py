@@ -9,6 +9,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import rows_of
+from registry import catalog
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SURVEY_IDS = {
@@ -27,13 +28,14 @@ def db():
 
 
 def test_every_operator_is_registered_and_checked():
-    have = {re.match(r"[a-z]+\d+", key).group() for key in queries()}
+    have = {re.match(r"[a-z]+\d+", key).group() for key in catalog.QUERIES}
     want = {f"{prefix.lower()}{n}" for prefix, count in SURVEY_IDS.items() for n in range(1, count + 1)}
     assert have == want
-    assert set(oracle_sql()) == set(queries())
+    assert set(catalog.ORACLES) == set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, db, key):
     df = queries()[key](spark, FOLDER)
     result = db.execute(oracle_sql()[key])
