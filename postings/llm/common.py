@@ -26,6 +26,11 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, UPPER, UPPER.lower()), BLANKS), lambda w: w != "")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, with the value worked out once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def kept(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut there.
 

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .kd_shards import op9_kd_shards
+from .line_dedup import op5_line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_line_dedup": op5_line_dedup,
     "op9_kd_shards": op9_kd_shards,
 }
 
