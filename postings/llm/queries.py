@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprints import op3_fingerprints
 from .kd_shards import op9_kd_shards
 from .line_dedup import op5_line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_fingerprints": op3_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op9_kd_shards": op9_kd_shards,
 }
