@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import kept, let, table, text_bytes, text_of
+from .common import kept, let, row_ids, table, text_bytes, text_of
 
 #: Bytes of text in one part of the rows that are dealt out by row key.
 PART_BYTES = 8_000_000
@@ -50,11 +50,6 @@ def line_chunks(rows: DataFrame, text: str) -> DataFrame:
     )
 
 
-def row_ids(key: Column, text: Column) -> list[Column]:
-    """128 bits that stand for a row's key and text, and are never null."""
-    return [F.xxhash64(key, text).alias("r1"), F.xxhash64(text, F.lit(1), key).alias("r2")]
-
-
 def repeated_chunks(rows: DataFrame, dealt: DataFrame) -> DataFrame:
     """(r1, r2, places): by document the places of chunks that stood before.
 

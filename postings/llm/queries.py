@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import OP2_SQL, op2_decontaminate
 from .fingerprints import op3_fingerprints
 from .kd_shards import op9_kd_shards
 from .line_dedup import op5_line_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_fingerprints": op3_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op9_kd_shards": op9_kd_shards,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": OP2_SQL,
+}
