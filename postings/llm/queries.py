@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import OP4_SQL, op4_chat_examples
 from .decontaminate import OP2_SQL, op2_decontaminate
 from .fingerprints import op3_fingerprints
 from .kd_shards import op9_kd_shards
@@ -14,10 +15,12 @@ from .line_dedup import op5_line_dedup
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_fingerprints": op3_fingerprints,
+    "op4_chat_examples": op4_chat_examples,
     "op5_line_dedup": op5_line_dedup,
     "op9_kd_shards": op9_kd_shards,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
+    "op4_chat_examples": OP4_SQL,
 }
