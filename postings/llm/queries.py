@@ -11,12 +11,14 @@ from .decontaminate import OP2_SQL, op2_decontaminate
 from .fingerprints import op3_fingerprints
 from .kd_shards import op9_kd_shards
 from .line_dedup import op5_line_dedup
+from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_fingerprints": op3_fingerprints,
     "op4_chat_examples": op4_chat_examples,
     "op5_line_dedup": op5_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_kd_shards": op9_kd_shards,
 }
 
