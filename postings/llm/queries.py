@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import OP4_SQL, op4_chat_examples
 from .decontaminate import OP2_SQL, op2_decontaminate
 from .fingerprints import op3_fingerprints
+from .jaccard_join import op10_jaccard_join
 from .kd_shards import op9_kd_shards
 from .line_dedup import op5_line_dedup
 from .toxicity import op7_toxicity
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op9_kd_shards": op9_kd_shards,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
