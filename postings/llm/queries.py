@@ -12,9 +12,11 @@ from .fingerprints import op3_fingerprints
 from .jaccard_join import op10_jaccard_join
 from .kd_shards import op9_kd_shards
 from .line_dedup import op5_line_dedup
+from .suffix_dedup import op1_suffix_dedup
 from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_fingerprints": op3_fingerprints,
     "op4_chat_examples": op4_chat_examples,
