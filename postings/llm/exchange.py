@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 SHARD_BYTES = 4_000_000
 #: A bucket's keys are its number and so many bits more.
 SUFFIX_BITS = 32
-REPLY_SCHEMA = "shard long, bucket long, counts binary"
+REPLY_SCHEMA = "shard long, bucket long, counts binary, distinct long, total long"
 
 
 def shard_count(total_bytes: int) -> int:
@@ -34,20 +34,23 @@ def bucket_bits(total_keys: int) -> int:
     return int(np.clip(np.ceil(np.log2(max(total_keys, 1))) - 20, 6, 16))
 
 
-def key_counts(dealt_rows: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], bits: int) -> DataFrame:
-    """(shard, bucket, counts): for each shard and bucket the counts of its keys over all shards.
+def key_counts(dealt_rows: DataFrame, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], bits: int, whole: bool = False) -> DataFrame:
+    """(shard, bucket, counts, ...): for each shard and bucket the counts of its keys over all shards.
 
-    ``keys_of`` gives a shard's distinct keys, sorted numbers below 2**(bits + 32), and how
-    often the shard counts each. Counts are 32-bit and in the order of the keys.
+    ``keys_of`` gives a shard's distinct keys, sorted numbers below 2**(bits + 32), or of 64
+    bits if ``whole``, and how often the shard counts each. Counts are 32-bit and in the order
+    of the keys. Each bucket has a row more, of shard -1, with how many of its keys have a
+    count and the sum of the counts.
     """
+    shift, kind = np.uint64(64 - bits if whole else SUFFIX_BITS), np.uint64 if whole else np.uint32
 
     def send(rows: pa.Table) -> pa.Table:
         shard = rows.column("shard")[0].as_py()
         keys, counts = keys_of(rows)
-        bucket = (keys >> np.uint64(SUFFIX_BITS)).astype(np.int64)
+        bucket = (keys >> shift).astype(np.int64)
         present = np.unique(bucket)
         cut = np.append(np.searchsorted(bucket, present), len(keys))
-        suffix, counts = keys.astype(np.uint32), counts.astype(np.uint32)
+        suffix, counts = keys.astype(kind), counts.astype(np.uint32)
         return pa.table(
             {
                 "bucket": pa.array(present, pa.int64()),
@@ -58,19 +61,33 @@ def key_counts(dealt_rows: DataFrame, keys_of: Callable[[pa.Table], tuple[np.nda
         )
 
     def answer(sent: pa.Table) -> pa.Table:
-        runs = [np.frombuffer(k, dtype=np.uint32) for k in sent.column("keys").to_pylist()]
+        runs = [np.frombuffer(k, dtype=kind) for k in sent.column("keys").to_pylist()]
         merged = np.unique(np.concatenate(runs))
         total = np.zeros(len(merged), dtype=np.int64)
         places = [np.searchsorted(merged, run) for run in runs]
         for place, n in zip(places, sent.column("n").to_pylist(), strict=True):
             total[place] += unpacked(n)
-        total = np.minimum(total, 2**32 - 1).astype(np.uint32)
-        return pa.table({"shard": sent.column("shard"), "bucket": sent.column("bucket"), "counts": pa.array([packed(total[p]) for p in places], pa.binary())})
+        n, bucket = len(places), sent.column("bucket")[0].as_py()
+        counts = np.minimum(total, 2**32 - 1).astype(np.uint32)
+        return pa.table(
+            {
+                "shard": pa.array([*sent.column("shard").to_pylist(), -1], pa.int64()),
+                "bucket": pa.array([bucket] * (n + 1), pa.int64()),
+                "counts": pa.array([*(packed(counts[p]) for p in places), None], pa.binary()),
+                "distinct": pa.array([None] * n + [int((total > 0).sum())], pa.int64()),
+                "total": pa.array([None] * n + [int(total.sum())], pa.int64()),
+            }
+        )
 
     sent = dealt_rows.groupBy("shard").applyInArrow(send, "bucket long, shard long, keys binary, n binary")
     return sent.groupBy("bucket").applyInArrow(answer, REPLY_SCHEMA)
 
 
+def replies_to(replies: DataFrame) -> DataFrame:
+    """The rows for shards, without the sums."""
+    return replies.filter("shard >= 0").select("shard", "bucket", "counts")
+
+
 def packed(counts: np.ndarray) -> bytes:
     """Counts as bytes: a byte each, with the ones that do not fit behind a mark."""
     small = np.minimum(counts, 255).astype(np.uint8)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import kept, table, text_bytes, text_of
 from .components import components
-from .exchange import SUFFIX_BITS, bucket_bits, counts_of_shard, dealt, key_counts, shard_count
+from .exchange import SUFFIX_BITS, bucket_bits, counts_of_shard, dealt, key_counts, replies_to, shard_count
 from .hashes import shingle_sets
 
 #: Bytes of shingle sets in one tile, or in either side of a tile of two cells.
@@ -119,7 +119,7 @@ def _shingle_rows(dealt_rows: DataFrame, size: int, percent: int, bits: int) ->
         )
 
     replies = key_counts(dealt_rows, keys_of, bits)
-    return dealt_rows.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(sets, "id long, n_shingles long, shingles binary, tokens array<bigint>")
+    return dealt_rows.groupBy("shard").cogroup(replies_to(replies).groupBy("shard")).applyInArrow(sets, "id long, n_shingles long, shingles binary, tokens array<bigint>")
 
 
 def _tiles(sets: DataFrame, rough: DataFrame, percent: int, tile_bytes: int) -> DataFrame:

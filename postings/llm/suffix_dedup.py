@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, text_bytes, text_of
-from .exchange import SUFFIX_BITS, bucket_bits, counts_of_shard, dealt, key_counts, shard_count
+from .exchange import SUFFIX_BITS, bucket_bits, counts_of_shard, dealt, key_counts, replies_to, shard_count
 from .hashes import MULTIPLIERS, _VALUES, mixed
 from .suffix_arrays import merged, owned_strings
 
@@ -249,7 +249,7 @@ def repeated_spans(rows: DataFrame, bits: int) -> DataFrame:
         return pa.Table.from_pylist(_judged(sent.to_pylist()), schema=_FOUND)
 
     replies = key_counts(rows, keys_of, bits)
-    sent = rows.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(send, "bucket long, shard long, n long, blob binary")
+    sent = rows.groupBy("shard").cogroup(replies_to(replies).groupBy("shard")).applyInArrow(send, "bucket long, shard long, n long, blob binary")
     return sent.groupBy("bucket").applyInArrow(judge, "shard long, n long, spans binary")
 
 

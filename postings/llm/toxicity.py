@@ -10,10 +10,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import fold, table, text_of
 
 #: Most labelled rows of either class that are learned from, and most code points of each.
 MAX_ROWS = 4_000
@@ -138,11 +138,6 @@ def learned(texts: list[str], toxic: list[int], class_rows: dict[int, int]) -> T
     return model
 
 
-def fold(key: Column, folds: int) -> Column:
-    """crc32 of the key as text, modulo ``folds``; null for a null key."""
-    return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds))
-
-
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
     """Learn from the labelled documents whose crc32(key as text) mod 3 is not 1.
 
