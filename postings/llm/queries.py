@@ -12,6 +12,7 @@ from .fingerprints import op3_fingerprints
 from .jaccard_join import op10_jaccard_join
 from .kd_shards import op9_kd_shards
 from .line_dedup import op5_line_dedup
+from .sentencepieces import op6_sampled_pieces
 from .suffix_dedup import op1_suffix_dedup
 from .suffix_tree_lm import op8_suffix_tree_lm
 from .toxicity import op7_toxicity
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_chat_examples": op4_chat_examples,
     "op5_line_dedup": op5_line_dedup,
+    "op6_sampled_pieces": op6_sampled_pieces,
     "op7_toxicity": op7_toxicity,
     "op8_suffix_tree_lm": op8_suffix_tree_lm,
     "op9_kd_shards": op9_kd_shards,
