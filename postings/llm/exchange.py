@@ -20,8 +20,8 @@ SUFFIX_BITS = 32
 REPLY_SCHEMA = "shard long, bucket long, counts binary, distinct long, total long"
 
 
-def shard_count(total_bytes: int) -> int:
-    return max(64, total_bytes // SHARD_BYTES)
+def shard_count(total_bytes: int, shard_bytes: int = SHARD_BYTES) -> int:
+    return max(64, total_bytes // shard_bytes)
 
 
 def dealt(rows: DataFrame, shards: int, *by: Column) -> DataFrame:

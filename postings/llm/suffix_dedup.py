@@ -21,8 +21,10 @@ WIDTH = 50
 GRAM = 16
 #: Most strings in one stretch of text that is sent on.
 STRETCH = 255
-#: Bytes of text under one suffix array.
-SHARD_TEXT = 4_000_000
+#: Bytes of text in a shard, and under one suffix array.
+SHARD_TEXT = 2_000_000
+#: Bits that the bucket number has beyond what counting keys needs: a bucket also gets their texts.
+TEXT_BITS = 2
 #: A document without a key counts as later than all others.
 LAST = np.iinfo(np.int64).max
 #: Keys that a byte of text has, about: it sizes the buckets before keys are made.
@@ -271,9 +273,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     binary search. The spans go back to the shards.
     """
     total, _ = text_bytes(docs, text)
-    bits = bucket_bits(int(total * KEYS_A_BYTE))
+    bits = bucket_bits(int(total * KEYS_A_BYTE)) + TEXT_BITS
     named = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
-    rows = dealt(named, shard_count(total), F.col("id"), F.col("text"))
+    rows = dealt(named, shard_count(total, SHARD_TEXT), F.col("id"), F.col("text"))
 
     def apply(part: pa.Table, found: pa.Table) -> pa.Table:
         names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
