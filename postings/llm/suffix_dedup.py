@@ -18,7 +18,7 @@ from .suffix_arrays import merged, owned_strings
 
 WIDTH = 50
 #: Bytes of the runs whose least hash stands for a string of ``WIDTH`` bytes.
-GRAM = 16
+GRAM = 24
 #: Most strings in one stretch of text that is sent on.
 STRETCH = 255
 #: Bytes of text in a shard, and under one suffix array.
@@ -28,7 +28,7 @@ TEXT_BITS = 2
 #: A document without a key counts as later than all others.
 LAST = np.iinfo(np.int64).max
 #: Keys that a byte of text has, about: it sizes the buckets before keys are made.
-KEYS_A_BYTE = 0.06
+KEYS_A_BYTE = 0.07
 
 
 @dataclass
@@ -51,13 +51,20 @@ def texts_of(rows: pa.Table) -> Texts:
     return Texts(order, ids[order], np.frombuffer(b"".join(parts), dtype=np.uint8), starts)
 
 
-def least_hashes(data: np.ndarray, width: int, gram: int) -> np.ndarray:
-    """For each position the least hash of the runs of ``gram`` bytes in the ``width`` bytes from there."""
+def run_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """64 bits for the ``length`` bytes from each position."""
     h, size = _VALUES[data], 1
-    while size < gram:
+    while size * 2 <= length:
         base = np.uint64(pow(int(MULTIPLIERS[1]), size, 2**64))
         h, size = h[: max(0, len(h) - size)] * base + h[size:], size * 2
-    h = mixed(h)
+    if size < length:  # two runs that overlap cover what is asked for
+        h = h[: max(0, len(h) - length + size)] * MULTIPLIERS[3] + h[length - size :]
+    return mixed(h)
+
+
+def least_hashes(data: np.ndarray, width: int, gram: int) -> np.ndarray:
+    """For each position the least hash of the runs of ``gram`` bytes in the ``width`` bytes from there."""
+    h = run_hashes(data, gram)
     window, size = width - gram + 1, 1
     while size * 2 <= window:
         h = np.minimum(h[: max(0, len(h) - size)], h[size:])
@@ -130,6 +137,19 @@ def alike(data: np.ndarray, starts: np.ndarray, key: np.ndarray, owner: np.ndarr
     return found
 
 
+def in_two(data: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Whether each stretch has a string that, by its hash, a stretch of another owner has too."""
+    strings = np.diff(starts) - WIDTH + 1
+    begin = np.arange(strings.sum()) + np.repeat(np.arange(len(strings)) * (WIDTH - 1), strings)
+    hashes, own = run_hashes(data, WIDTH)[begin], np.repeat(owner, strings)
+    order = np.argsort(hashes)
+    head = np.flatnonzero(np.diff(hashes[order], prepend=~hashes[order[:1]]))
+    two = np.minimum.reduceat(own[order], head) != np.maximum.reduceat(own[order], head)
+    shared = np.zeros(len(hashes), dtype=bool)
+    shared[order] = np.repeat(two, np.diff(np.append(head, len(hashes))))
+    return np.logical_or.reduceat(shared, np.cumsum(strings) - strings)
+
+
 _COLUMNS = (("key", np.uint64), ("owner", np.int64), ("text", np.int32), ("at", np.int64), ("strings", np.uint8))
 
 
@@ -171,6 +191,8 @@ def _judged(sent: list[dict]) -> list[dict]:
     left = np.flatnonzero(like == np.arange(len(like)))
     _, of_key, many = np.unique(key[left], return_inverse=True, return_counts=True)
     left = left[many[of_key] > 1]
+    if len(left):
+        left = left[in_two(*gathered(data, starts[left], lengths[left]), owner[left])]
     if len(left):
         removed = np.zeros(starts[-1], dtype=bool)
         blocks, at_block = [], np.cumsum(lengths[left]) // SHARD_TEXT
@@ -266,7 +288,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     don't count as earlier than each other, so they never remove each other's bytes. A null key
     counts as greater than all others, two null keys as the same. Other columns are not read.
 
-    Strings are found in three steps. A string's key is the least hash of its runs of 16
+    Strings are found in three steps. A string's key is the least hash of its runs of 24
     bytes; keys are counted over all shards, and only stretches whose key stands in two
     texts go on. They are brought together by key, where a suffix array over each block of
     stretches, with common prefixes, shows equal strings, and blocks are merged by
