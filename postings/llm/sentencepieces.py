@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -21,7 +22,7 @@ SAMPLES = 2
 #: Exponent of a piece's weight; lower values make rarer segmentations likelier.
 ALPHA = 0.5
 #: Characters of text that a task works on at a time, and units whose lattices it remembers.
-CHUNK_CHARS, CACHE = 1_000_000, 250_000
+CHUNK_CHARS, CACHE = 1_000_000, 350_000
 
 #: The mark for a space, and the shift in Zipf's law.
 MARK, SHIFT = "▁", 2.7
@@ -29,7 +30,6 @@ MARK, SHIFT = "▁", 2.7
 LITERAL = 0x110000
 SLOT_BITS = 20
 UNITS_AT_ONCE = 2_000
-_UNIT = re.compile(rf" *[^ \n\r\t{MARK}]+| +|[\n\r\t{MARK}]")
 
 
 @dataclass
@@ -39,6 +39,15 @@ class Vocabulary:
     pieces: list[str]
     first_byte: int
     weights: np.ndarray
+    unit: str = ""
+
+    def __post_init__(self) -> None:
+        """The pattern of units: letters, signs that no piece has beside a letter, and all else up to a blank."""
+        beside = {c for p in self.pieces for a, b in zip(p, p[1:], strict=False) for c in (a, b) if a.isalpha() or b.isalpha()}
+        apart = "".join(re.escape(c) for c in string.punctuation if c not in beside)
+        signs = rf"| *[{apart}]+(?=[^\W\d_]|[ \n\r\t{MARK}]|$)" if apart else ""
+        after = rf"(?=[{apart} \n\r\t{MARK}]|$)"
+        self.unit = rf" *[^\W\d_]+{after}{signs}| *[^ \n\r\t{MARK}]+| +|[\n\r\t{MARK}]"
 
     @staticmethod
     def read(path: str, alpha: float = ALPHA) -> Vocabulary:
@@ -68,12 +77,12 @@ def _only(pieces: list[str], plain: list[int]) -> list[str]:
     return out
 
 
-def units_of(text: str) -> list[str]:
+def units_of(text: str, unit: re.Pattern) -> list[str]:
     """Parts of a text that no piece reaches across: spaces with what follows, and single breaks.
 
     A space is put before a text that is not empty, as the model's own encoder does.
     """
-    return _UNIT.findall(" " + text) if text else []
+    return unit.findall(" " + text) if text else []
 
 
 class Lattices:
@@ -84,6 +93,7 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
+        self.unit = re.compile(vocabulary.unit)
         self.longest = max(map(len, vocabulary.pieces))
         self.weights = np.append(vocabulary.weights, -np.inf).astype(np.float32)  # the last is for no piece
         ids = np.array([i for i, p in enumerate(vocabulary.pieces) if p])
@@ -118,7 +128,7 @@ class Lattices:
         self.n_nodes, self.n_edges = 0, 0
         self.edge_first = np.zeros(1, dtype=np.int64)
         self.piece, self.target = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
-        self.log_p, self.upto = np.zeros(0, dtype=np.float32), np.zeros(0, dtype=np.float32)
+        self.log_p, self.upto, self.others = (np.zeros(0, dtype=np.float32) for _ in range(3))
 
     def _append(self, name: str, at: int, values: np.ndarray) -> None:
         held = getattr(self, name)
@@ -152,11 +162,14 @@ class Lattices:
         node = np.arange(len(points)) + np.repeat(np.arange(len(units)), size)
         sums, inverse = _sums(points)
         piece = np.full((len(points), self.longest), -1, dtype=np.int32)
-        at = np.arange(len(points))
+        at, used = np.arange(len(points)), 1
         for length in range(1, self.longest + 1):
             at = at[left[at] >= length]
             where, hit = self._find(_run_hash(sums, inverse, at, length))
-            piece[at[hit], length - 1] = self.ids[where[hit]]
+            if hit.any():
+                used = length
+                piece[at[hit], length - 1] = self.ids[where[hit]]
+        piece = piece[:, :used]
         weight = self.weights[piece]
         bare = piece[:, 0] < 0  # a character without a piece is spelled in bytes
         piece[bare, 0] = len(self.vocabulary.pieces) + points[bare].astype(np.int64)
@@ -164,7 +177,7 @@ class Lattices:
         weight[bare, 0] = spelled * self.vocabulary.weights[self.vocabulary.first_byte]
         # from the ends of the units back: the log of the summed weights of all ways to the end
         back = np.zeros(len(points) + len(units) + self.longest, dtype=np.float32)
-        ahead = np.arange(1, self.longest + 1)
+        ahead = np.arange(1, used + 1)
         by_left = np.argsort(left, kind="stable")
         ends = np.cumsum(np.bincount(left)[1:])
         for a, b in zip(np.append(0, ends[:-1]), ends, strict=True):
@@ -177,6 +190,9 @@ class Lattices:
         row, column = np.nonzero(piece >= 0)
         log_p, piece, upto, target = weight[row, column], piece[row, column], upto[row, column], node[row] + column + 1
         upto[np.append(row[1:] != row[:-1], True)] = 2.0  # the last edge of a node takes what is left
+        with np.errstate(divide="ignore"):  # of all other edges of the node; none beside a sole edge
+            others = np.log1p(-np.minimum(np.exp(log_p), 1 - 1e-7))
+        others[np.bincount(row, minlength=len(points))[row] == 1] = -np.inf
         count = np.zeros(len(points) + len(units), dtype=np.int64)
         count[node] = np.bincount(row, minlength=len(points))
         first = np.concatenate([[0], np.cumsum(count)])
@@ -187,6 +203,7 @@ class Lattices:
         self._append("target", self.n_edges, target + shift)
         self._append("log_p", self.n_edges, log_p)
         self._append("upto", self.n_edges, upto)
+        self._append("others", self.n_edges, others)
         self.n_nodes += len(first) - 1
         self.n_edges += len(piece)
 
@@ -199,7 +216,9 @@ class Lattices:
         length = np.zeros(len(nodes), dtype=np.int64)
         who, at = np.arange(len(nodes)), nodes
         while len(who):
-            u = uniform(seeds[who] + np.uint64(len(steps)) * MULTIPLIERS[3:4]).astype(np.float32)
+            # the seed's bits are mixed: a product by another odd number for each step spreads them anew
+            odd = np.uint64(pow(int(MULTIPLIERS[3]), len(steps), 2**64))
+            u = ((seeds[who] * odd) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
             edge = self.edge_first[at]
             open_ = np.flatnonzero(self.upto[edge] <= u)
             while len(open_):
@@ -240,10 +259,9 @@ def gumbels(seeds: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(uniform(seeds)))
 
 
-def below(limit: float, values: np.ndarray) -> np.ndarray:
-    """Gumbel variables conditioned to lie below ``limit``."""
-    with np.errstate(over="ignore"):
-        return -np.logaddexp(-limit, -values)
+def below(limit: float, value: float) -> float:
+    """A Gumbel variable conditioned to lie below ``limit``."""
+    return -float(np.logaddexp(-limit, -value)) if value > -np.inf else -np.inf
 
 
 @dataclass
@@ -278,7 +296,7 @@ class TopK:
         self.lattices, self.seed = lattices, seed
         self.fresh = fresh
         self.paths: list[Sample] = []
-        self.bounds: list[np.ndarray] = []
+        self.ranks: list[np.ndarray] = []
         self.units: list[np.ndarray] = []
         self.mass: list[np.ndarray] = []
         self.forks: list[tuple[float, _Node]] = []
@@ -300,17 +318,13 @@ class TopK:
         log_p = self.lattices.log_p[edges].astype(np.float64)
         total = np.cumsum(log_p)
         before = total - log_p
-        only = self.lattices.upto[np.maximum(edges - 1, 0)] >= 2
-        only |= edges == 0
-        only &= self.lattices.upto[edges] >= 2  # the sole edge of its node
-        p = np.minimum(np.exp(log_p), 1 - 1e-7)
-        mass = np.where(only, -np.inf, before + np.log1p(-p))
-        bound = below(perturbed, mass + self._noise(2 * len(self.paths), len(edges)))
-        bound[:since] = -np.inf
+        # the least of these is at the node with the greatest maximum
+        rank = -self._noise(2 * len(self.paths), len(edges)) - before - self.lattices.others[edges]
+        rank[:since] = np.inf
         self.paths.append(Sample(edges, float(total[-1]) if len(total) else 0.0, perturbed))
         self.units.append(unit)
         self.mass.append(before)
-        self.bounds.append(bound)
+        self.ranks.append(rank)
 
     def first(self) -> None:
         edges, starts = self.fresh[0]
@@ -319,11 +333,12 @@ class TopK:
 
     def _best(self) -> tuple[float, _Node | int]:
         best, node = max(self.forks, key=lambda f: f[0], default=(-np.inf, None))
-        for i, bound in enumerate(self.bounds):
-            if len(bound):
-                token = int(np.argmax(bound))
-                if bound[token] > best:
-                    best, node = float(bound[token]), _Node(i, token, [int(self.paths[i].edges[token])], 0.0)
+        for i, rank in enumerate(self.ranks):
+            if len(rank):
+                token = int(np.argmin(rank))
+                bound = below(self.paths[i].perturbed, -float(rank[token]))
+                if bound > best:
+                    best, node = bound, _Node(i, token, [int(self.paths[i].edges[token])], 0.0)
         return best, node
 
     def threshold(self) -> float:
@@ -336,7 +351,7 @@ class TopK:
             return False
         number, lattice = len(self.paths), self.lattices
         if len(node.taken) == 1:
-            self.bounds[node.path][node.token] = -np.inf
+            self.ranks[node.path][node.token] = np.inf
         else:
             self.forks = [f for f in self.forks if f[1] is not node]
         old, unit = self.paths[node.path].edges, self.units[node.path]
@@ -362,7 +377,7 @@ class TopK:
             taken = [*node.taken, way]
             others = np.array([e for e in ways if e != way])
             mass = before + float(np.log(np.exp(lattice.log_p[others].astype(np.float64)).sum()))
-            bound = float(below(perturbed, mass + self._noise(2 * number + 1, 1))[0])
+            bound = below(perturbed, mass + float(self._noise(2 * number + 1, 1)[0]))
             self.forks.append((bound, _Node(node.path, node.token, taken, mass)))
         return True
 
@@ -452,14 +467,14 @@ def sampled_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, se
         decoder = Decoder(vocabulary)
 
         def encoded(rows: list[tuple[int | None, str]]) -> pa.RecordBatch:
-            units = [units_of(text) for _, text in rows]
+            units = [units_of(text, lattices.unit) for _, text in rows]
             counts = np.array([len(u) for u in units])
             nodes = lattices.nodes([u for own in units for u in own])
             begin = np.concatenate([[0], np.cumsum(counts)])
             seeds = row_seeds([key for key, _ in rows], seed)
             place = np.arange(begin[-1]) - np.repeat(begin[:-1], counts)
             each = mixed(np.repeat(seeds, counts) + place.astype(np.uint64) * BASE)
-            fresh = [lattices.paths(nodes, each + np.uint64(m) * MULTIPLIERS[2:3]) for m in range(k)]
+            fresh = [lattices.paths(nodes, mixed(each + np.uint64(m) * MULTIPLIERS[2:3])) for m in range(k)]
             out: list[tuple] = []
             ids: list[np.ndarray] = []
             for i, (key, text) in enumerate(rows):
