@@ -23,8 +23,8 @@ GRAM = 24
 STRETCH = 255
 #: Bytes of text in a shard, and under one suffix array.
 SHARD_TEXT = 2_000_000
-#: Bits that the bucket number has beyond what counting keys needs: a bucket also gets their texts.
-TEXT_BITS = 2
+#: Bits that the number of a bucket of stretches has beyond that of a bucket of keys.
+TEXT_BITS = 4
 #: A document without a key counts as later than all others.
 LAST = np.iinfo(np.int64).max
 #: Keys that a byte of text has, about: it sizes the buckets before keys are made.
@@ -258,7 +258,7 @@ def repeated_spans(rows: DataFrame, bits: int) -> DataFrame:
         if known.any():  # a lesser text of this shard has these bytes
             spans = _spans(shard, text[known], at[known], (at + strings + WIDTH - 1)[known])
             out.append({"bucket": -1 - shard, "shard": shard, "n": spans["n"], "blob": spans["spans"]})
-        bucket = (key >> np.uint64(SUFFIX_BITS)).astype(np.int64)
+        bucket = (key >> np.uint64(SUFFIX_BITS - TEXT_BITS)).astype(np.int64)
         ask = np.flatnonzero(~known)
         ask = ask[np.argsort(bucket[ask], kind="stable")]
         present, begin = np.unique(bucket[ask], return_index=True)
@@ -295,7 +295,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     binary search. The spans go back to the shards.
     """
     total, _ = text_bytes(docs, text)
-    bits = bucket_bits(int(total * KEYS_A_BYTE)) + TEXT_BITS
+    bits = bucket_bits(int(total * KEYS_A_BYTE))
     named = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
     rows = dealt(named, shard_count(total, SHARD_TEXT), F.col("id"), F.col("text"))
 
