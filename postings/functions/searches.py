@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote_plus
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ def search_texts(text: Column, terms: Column, prefix: str, trimmed: bool) -> Col
 
 def search_url(endpoint: str, query: Column, name: str, fixed: Sequence[tuple[str, str]] = ()) -> Column:
     """``endpoint?name=query&fixed...`` with form-encoded values."""
-    tail = "".join(f"&{key}={value}" for key, value in fixed)
+    tail = "".join(f"&{key}={quote_plus(value)}" for key, value in fixed)
     return F.concat(F.lit(f"{endpoint}?{name}="), form_encode(query), F.lit(tail))
 
 

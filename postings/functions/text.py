@@ -17,10 +17,10 @@ WHITESPACE = "".join(map(chr, _BLANK_CODES))
 # The same set as a regex class. Spelled out because the Java blank class is ASCII only.
 BLANK = "[" + "".join(rf"\x{{{code:x}}}" for code in _BLANK_CODES) + "]"
 
-# Phrases that end a listing title (matched with case).
+# Phrases that end a listing title (matched with case, in a collapsed title).
 LISTING_TITLE_STOPS = (
-    r"Listed" + BLANK + r"+\w+",
-    r"\d+" + BLANK + r"+days?" + BLANK + r"+ago",
+    r"Listed \w+",
+    r"\d+ days? ago",
     "Be an early applicant",
     "Quick apply",
     "Job closes",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
+from urllib.parse import uses_netloc, uses_params
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,13 +20,10 @@ from .text import let, or_empty, strip
 # Query parameters that only track visits.
 TRACKING_PREFIXES = ("utm_",)
 TRACKING_PARAMETERS = ("tracking", "srsltid", "gclid", "fbclid", "rsqid")
-# Schemes (lower case) whose last path segment may carry ;parameters,
-# and schemes written with "//" even when the host is empty.
-SCHEMES_WITH_PARAMETERS = ("", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp",
-                           "rtsps", "sip", "sips", "mms", "sftp", "tel")
-SCHEMES_WITH_HOST = ("", "ftp", "http", "gopher", "nntp", "telnet", "imap", "wais", "file", "mms",
-                     "https", "shttp", "snews", "prospero", "rtsp", "rtsps", "rtspu", "rsync",
-                     "svn", "svn+ssh", "sftp", "nfs", "git", "git+ssh", "ws", "wss", "itms-services")
+# Schemes whose last path segment may carry ;parameters, and schemes written with "//" even
+# when the host is empty: those of Python's own URL functions.
+SCHEMES_WITH_PARAMETERS = tuple(uses_params)
+SCHEMES_WITH_HOST = tuple(uses_netloc)
 
 _CONTROL_OR_SPACE = "".join(map(chr, range(0x21)))
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,32 +21,23 @@ def host_suffixes(host_name: Column) -> Column:
     )
 
 
-def salted_semi_join(
-    left: DataFrame, right: DataFrame, key: str, salt_by: Sequence[str], salts: int
-) -> DataFrame:
-    """Rows of ``left`` whose ``key`` is in ``right``.
-
-    Each left row goes to one of ``salts`` shares of its key, chosen from its unique
-    ``salt_by`` columns; the distinct right keys are repeated for each share.
-    """
-    salted = left.withColumn("salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)))
-    shares = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-    repeated = right.select(key).distinct().select(key, shares.alias("salt"))
-    return salted.join(repeated, [key, "salt"], "left_semi").drop("salt")
-
-
 def rows_in_domains(
-    rows: DataFrame, domains: DataFrame, row_key: Sequence[str], url: str = "url", domain: str = "domain", salts: int = 32
+    rows: DataFrame,
+    domains: DataFrame,
+    url: str = "url",
+    domain: str = "domain",
+    store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Rows whose host equals a listed domain or lies below one.
 
-    The suffix test becomes an equi-join on the distinct hosts, which are few against
-    the rows; the rows then meet their host in salted shares, so that neither a hot
-    host nor a hot suffix lands in one task.
+    The suffix test becomes an equi-join on the distinct hosts. The allowed hosts are then
+    stored and counted: up to ``broadcast_rows`` of them are broadcast, so the rows are not
+    shuffled; more meet their rows in a join whose hot hosts Spark splits.
     """
     named = rows.withColumn("host", host(F.col(url)))
-    hosts = named.select("host").distinct()
-    suffixed = hosts.select("host", F.explode(host_suffixes(F.col("host"))).alias("suffix"))
-    listed = domains.select(F.lower(F.col(domain)).alias("suffix"))
-    allowed = salted_semi_join(suffixed, listed, "suffix", ["host"], salts)
-    return salted_semi_join(named, allowed, "host", row_key, salts).drop("host").select(*rows.columns)
+    suffixed = named.select("host").distinct().select("host", F.explode(host_suffixes(F.col("host"))).alias("suffix"))
+    listed = domains.select(F.lower(F.col(domain)).alias("suffix")).distinct()
+    allowed = store(suffixed.join(listed, "suffix").select("host").distinct(), "hosts")
+    few = allowed.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return named.join(F.broadcast(allowed) if few else allowed, "host", "left_semi").select(*rows.columns)

@@ -6,7 +6,7 @@ explode literal arrays inside the row: no join, no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,16 +99,34 @@ def indeed_urls(keywords: Column) -> Column:
     return F.array(search_url("https://nz.indeed.com/jobs", query_text(keywords), "q"))
 
 
-PAGE_URLS = {"seek": seek_urls, "trademe": trademe_urls, "indeed": indeed_urls}
+def web_urls(endpoint: str, fixed: Sequence[tuple[str, str]]) -> Callable[[Column, Sequence[str]], Column]:
+    """The result page of a web search, for any of the sites."""
 
+    def urls(keywords: Column, sites: Sequence[str]) -> Column:
+        text = query_text(keywords)
+        parts = [F.concat(F.lit(f"site:{site} "), text) for site in sites]
+        return F.array(search_url(endpoint, F.concat_ws(" OR ", *parts) if parts else text, "q", fixed))
 
-def expand_page_urls(searches: DataFrame, providers: Sequence[Provider]) -> DataFrame:
-    """Page URLs: ``search_id, provider, query_ord, url``."""
+    return urls
+
+
+PAGE_URLS = {
+    "seek": lambda keywords, sites: seek_urls(keywords),
+    "trademe": lambda keywords, sites: trademe_urls(keywords),
+    "indeed": lambda keywords, sites: indeed_urls(keywords),
+    "google": web_urls("https://www.google.com/search", (("hl", "en-NZ"), ("gl", "NZ"))),
+    "bing": web_urls("https://www.bing.com/search", (("cc", "NZ"), ("setmkt", "en-NZ"))),
+}
+
+
+def expand_page_urls(searches: DataFrame, providers: Sequence[Provider], sites: Sequence[str] = ()) -> DataFrame:
+    """Page URLs: ``search_id, provider, query_ord, url``. Web searches are limited to ``sites``."""
+    if unknown := [p.name for p in providers if p.name not in PAGE_URLS]:
+        raise ValueError(f"no page URLs are known for {', '.join(unknown)}")
     per_provider = F.array(
         *(
-            F.struct(F.lit(p.name).alias("provider"), PAGE_URLS[p.name](F.col("keywords")).alias("urls"))
+            F.struct(F.lit(p.name).alias("provider"), PAGE_URLS[p.name](F.col("keywords"), sites).alias("urls"))
             for p in providers
-            if p.name in PAGE_URLS
         )
     )
     return _unnest_texts(searches, per_provider, "urls", "url")

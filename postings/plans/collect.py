@@ -115,8 +115,15 @@ def payload_input(collected: DataFrame) -> DataFrame:
     results = F.transform(
         accepted, lambda x: F.struct(x["title"], x["url"], x["content"], x["published"], x["mode"])
     )
+    places = F.transform(
+        accepted,
+        lambda x: F.struct(
+            F.col("mode_ord").cast("int").alias("mode_ord"), "query_ord", "response_id", x["pos"].cast("int").alias("pos")
+        ),
+    )
     return collected.where(F.col("fetch_error").isNull()).select(
-        "provider", "mode", "mode_ord", "query_ord", "response_id", "query", "request_url", results.alias("results")
+        "provider", "mode", "mode_ord", "query_ord", "response_id", "query", "request_url",
+        results.alias("results"), places.alias("places"),
     )
 
 

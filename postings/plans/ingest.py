@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,40 +26,32 @@ from ..operators.envelope import bronze_rows, fold_payloads
 from ..operators.providers import allowlist
 from ..operators.upsert import upsert
 from ..schemas import SILVER, SILVER_KEPT, SILVER_KEYS
-from ..session import materialize
+from ..session import scratch
 from ..settings import RunSettings
 from ..sinks.tables import (
     Tables,
     append_bronze,
+    bucket_count,
     current_version,
-    holds_run,
-    is_published,
+    note,
     publish,
+    read_run,
     read_silver,
+    steps_of,
+    write_run,
 )
 from ..sources.scans import scan_payloads
 from .collect import collect_responses, explode_items, payload_input, quarantine
 
 PROVIDER_STAGE, INGEST_STAGE = "provider", "ingest"
+#: Bytes of text that a bucket of a first silver version is meant to hold.
+BUCKET_BYTES = 200_000_000
 
 
 class EmptyRun(RuntimeError):
     """A run without bronze rows or without silver rows."""
 
 
-@dataclass(frozen=True)
-class Outputs:
-    """What a run derives from its responses. All lazy."""
-
-    bronze: DataFrame
-    batch: DataFrame
-    rejected: DataFrame
-    classified: DataFrame
-    quarantine: DataFrame
-    totals: DataFrame
-    funnel: DataFrame
-
-
 def results_of(collected: DataFrame) -> DataFrame:
     """Provider-accepted items as normalised results with their canonical URL."""
     items = explode_items(collected).where(F.col("reject_reason").isNull())
@@ -75,39 +69,58 @@ def batch_of(classified: DataFrame, settings: RunSettings) -> DataFrame:
     return first_per_key(rows, SILVER_KEYS, RUN_ORDER).select(*SILVER.fieldNames())
 
 
-def derive(collected: DataFrame, settings: RunSettings, store=lambda df, name: df) -> Outputs:
-    """All outputs of a run from its collected responses.
+def bronze_of(collected: DataFrame, settings: RunSettings) -> DataFrame:
+    """Bronze rows of collected responses: their payloads, before any gate."""
+    listed = allowlist(settings.providers, settings.site_filters, F.col("provider"))
+    payloads = fold_payloads(payload_input(collected), listed, settings.responses_per_payload)
+    return bronze_rows(payloads, settings.run_id, settings.fetched_at, settings.site_filters)
+
+
+@dataclass
+class Outputs:
+    """What a run derives from its collected responses.
 
-    ``store`` is called on tables that are used more than once and may write them
-    down; the default leaves everything lazy.
+    Everything is lazy and made on first use. ``store`` is called on tables that are used
+    more than once and may write them down; the default leaves them lazy too.
     """
-    results = results_of(collected)
-    domains = allowlist(settings.providers, settings.site_filters, F.col("source"))
-    classified = store(classify(results, domains), "classified")
-
-    payloads = fold_payloads(
-        payload_input(collected),
-        allowlist(settings.providers, settings.site_filters, F.col("provider")),
-        settings.responses_per_payload,
-    )
-    bronze = bronze_rows(payloads, settings.run_id, settings.fetched_at, settings.site_filters)
-
-    dropped = explode_items(collected).where(F.col("reject_reason").isNotNull())
-    dropped = dropped.withColumn("source", F.col("provider")).withColumnRenamed("reject_reason", "reason")
-    rejected = rejected_rows(
-        classified.where(F.col("reason").isNotNull()), INGEST_STAGE, keep=RUN_ORDER
-    ).unionByName(rejected_rows(dropped, PROVIDER_STAGE, url="url", keep=RUN_ORDER))
-
-    bad = quarantine(collected)
-    return Outputs(
-        bronze=bronze,
-        batch=batch_of(classified, settings),
-        rejected=rejected,
-        classified=classified,
-        quarantine=bad,
-        totals=run_totals(bronze.select("run_id"), classified.select("reason"), bad.select("response_id")),
-        funnel=provider_funnel(classified.select("provider", "reason")),
-    )
+
+    collected: DataFrame
+    settings: RunSettings
+    store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+
+    @cached_property
+    def bronze(self) -> DataFrame:
+        return bronze_of(self.collected, self.settings)
+
+    @cached_property
+    def classified(self) -> DataFrame:
+        domains = allowlist(self.settings.providers, self.settings.site_filters, F.col("source"))
+        return self.store(classify(results_of(self.collected), domains), "classified")
+
+    @cached_property
+    def batch(self) -> DataFrame:
+        return batch_of(self.classified, self.settings)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        dropped = explode_items(self.collected).where(F.col("reject_reason").isNotNull())
+        dropped = dropped.withColumn("source", F.col("provider")).withColumnRenamed("reject_reason", "reason")
+        late = rejected_rows(self.classified.where(F.col("reason").isNotNull()), INGEST_STAGE, keep=RUN_ORDER)
+        return late.unionByName(rejected_rows(dropped, PROVIDER_STAGE, url="url", keep=RUN_ORDER))
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return quarantine(self.collected)
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return run_totals(
+            self.bronze.select("run_id"), self.classified.select("reason"), self.quarantine.select("response_id")
+        )
+
+    @cached_property
+    def funnel(self) -> DataFrame:
+        return provider_funnel(self.classified.select("provider", "reason"))
 
 
 def plan_ingest(responses: DataFrame, settings: RunSettings, store=lambda df, name: df) -> Outputs:
@@ -115,7 +128,7 @@ def plan_ingest(responses: DataFrame, settings: RunSettings, store=lambda df, na
 
     With ``store=materialize`` the response bodies are read once for all outputs.
     """
-    return derive(store(collect_responses(responses, settings), "collected"), settings)
+    return Outputs(store(collect_responses(responses, settings), "collected"), settings, store)
 
 
 def check_run(bronze_count: int, silver_count: int) -> None:
@@ -127,66 +140,91 @@ def check_run(bronze_count: int, silver_count: int) -> None:
 
 
 def batch_bytes(batch: DataFrame) -> int:
-    """Bytes of text in a batch, as a bound for broadcasting it."""
+    """Bytes of text in a batch, which size the first version's buckets."""
     strings = [f.name for f in batch.schema.fields if f.dataType.typeName() == "string"]
     texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c in strings]
     return batch.agg(F.coalesce(F.sum(sum(texts, F.lit(64))), F.lit(0))).first()[0]
 
 
-def run_ingest(spark: SparkSession, responses: DataFrame, tables: Tables, settings: RunSettings) -> Outputs:
+@dataclass(frozen=True)
+class Published:
+    """What a run has left in the tables of runs, and its counts."""
+
+    bronze: DataFrame
+    rejected: DataFrame
+    quarantine: DataFrame
+    metrics: DataFrame
+
+
+def published(spark: SparkSession, tables: Tables, run_id: str) -> Published:
+    return Published(*(read_run(spark, t, run_id) for t in (tables.bronze, tables.rejected, tables.quarantine, tables.metrics)))
+
+
+def run_ingest(spark: SparkSession, responses: DataFrame, tables: Tables, settings: RunSettings) -> Published:
     """Run the job and publish its tables.
 
     Response bodies are read once, into a table of collected items. Bronze is written
-    before the gates, so that a run whose results are all rejected keeps its payloads.
-    A run that stopped half way can be repeated under the same id: steps that it had
-    finished are left out.
+    first, before anything is classified, so that a run that fails or whose results are all
+    rejected keeps its payloads. Rejected rows, the quarantine and the counts are kept by
+    run. A run that stopped half way can be repeated under the same id: it keeps the time of
+    its first attempt, replaces what it wrote, and leaves out the versions it had
+    published. What it stores on the way is deleted at its end.
     """
-    collected = materialize(collect_responses(responses, settings), "collected")
-    outputs = derive(collected, settings, store=materialize)
-    if not holds_run(spark, tables, settings.run_id, settings.fetched_at.date()):
-        append_bronze(outputs.bronze, tables)
-
-    totals = outputs.totals.first()
-    check_run(totals["bronze_rows"], totals["silver_rows"])
-
-    if not is_published(spark, tables.silver, settings.run_id):
-        batch = materialize(outputs.batch, "batch")
-        small = batch_bytes(batch) <= settings.broadcast_bytes
-        target = read_silver(spark, tables)
-        # A bucketed target keeps its place; only a first load needs to be spread.
-        first_load = current_version(spark, tables.silver) is None
-        merged = upsert(target, batch, SILVER_KEYS, SILVER_KEPT, small_batch=small and not first_load)
-        publish(
-            merged,
-            tables.silver,
-            settings.run_id,
-            bucket_by=SILVER_KEYS,
-            buckets=settings.silver_buckets,
-            aligned=not first_load,
-        )
-    if not is_published(spark, tables.gold, settings.run_id):
-        gold = gold_rows(read_silver(spark, tables), settings.min_rate)
-        publish(gold, tables.gold, settings.run_id, sort_by=["hourly_max"])
-    return outputs
+    done = steps_of(spark, tables, settings.run_id)
+    if "started" in done:
+        settings = replace(settings, fetched_at=done["started"])
+    else:
+        note(spark, tables, settings.run_id, "started", settings.fetched_at)
+    stamp = {"run_id": F.lit(settings.run_id), "fetched_at": F.lit(settings.fetched_at).cast("timestamp")}
+    with scratch(spark) as store:
+        run = Outputs(store(collect_responses(responses, settings), "collected"), settings, store)
+        append_bronze(run.bronze, tables)
+        write_run(run.quarantine.withColumns(stamp), tables.quarantine)
+        write_run(run.rejected.withColumns(stamp), tables.rejected)
+        stored = read_run(spark, tables.bronze, settings.run_id).select("run_id")
+        totals = run_totals(stored, run.classified.select("reason"), run.quarantine.select("response_id"))
+        write_run(totals.withColumns(stamp), tables.metrics)
+        result = published(spark, tables, settings.run_id)
+        counts = result.metrics.first()
+        check_run(counts["bronze_rows"], counts["silver_rows"])
+        if "silver" not in done:
+            publish_silver(spark, store(run.batch, "batch"), tables, settings)
+            note(spark, tables, settings.run_id, "silver", settings.fetched_at)
+        if "gold" not in done:
+            gold = gold_rows(read_silver(spark, tables), settings.min_rate)
+            publish(gold, tables.gold, settings.run_id, sort_by=["hourly_max"])
+            note(spark, tables, settings.run_id, "gold", settings.fetched_at)
+    return result
+
+
+def publish_silver(spark: SparkSession, batch: DataFrame, tables: Tables, settings: RunSettings) -> None:
+    """Merge a batch into silver as a new version.
+
+    The current version is read once, in its buckets; only the batch is shuffled. A version
+    without buckets or with another number than wanted is spread anew.
+    """
+    version = current_version(spark, tables.silver)
+    have = bucket_count(spark, version) if version else 0
+    buckets = settings.silver_buckets or have or max(1, -(-batch_bytes(batch) // BUCKET_BYTES))
+    merged = upsert(read_silver(spark, tables), batch, SILVER_KEYS, SILVER_KEPT)
+    publish(merged, tables.silver, settings.run_id, bucket_by=SILVER_KEYS, buckets=buckets, aligned=have == buckets)
 
 
 def rebuild_batch(bronze: DataFrame, settings: RunSettings) -> DataFrame:
     """The silver batch of stored bronze rows of one run, without the responses.
 
-    Run order is that of the payloads: provider, then position. Where a provider has
-    several payloads, their order among each other is fixed but not that of the run.
+    Each result carries its place in run order, so neither the number of payloads nor their
+    order matters.
     """
-    numbered = bronze.withColumn("response_id", F.sha2(F.concat_ws("|", "run_id", "query", "response_json"), 256))
-    items = scan_payloads(numbered, keep=("source", "response_id", "fetched_at"))
-    position = {p.name: i for i, p in enumerate(settings.providers)}
+    items = scan_payloads(bronze, keep=("source", "fetched_at")).select("*", "order.mode_ord", "order.query_ord", "order.response_id", F.col("order.pos").alias("item_pos"))
+    items = items.drop("order", "pos").withColumnRenamed("item_pos", "pos")
     order = F
-    for name, index in position.items():
-        order = order.when(F.col("source") == name, index)
-    items = items.withColumn("provider_ord", order.otherwise(len(position)))
-    keep = ("provider_ord", "response_id", "pos", "allowed_domains", "fetched_at")
+    for index, provider in enumerate(settings.providers):
+        order = order.when(F.col("source") == provider.name, index)
+    items = items.withColumn("provider_ord", order.otherwise(len(settings.providers)))
+    keep = (*RUN_ORDER, "allowed_domains", "fetched_at")
     results = with_clean_url(normalize(items, F.col("source"), F.col("payload_provider"), F.col("payload_mode"), keep))
-    run_order = ("provider_ord", "response_id", "pos")
-    classified = classify(results, F.col("allowed_domains"), run_order, ROW_KEY)
+    classified = classify(results, F.col("allowed_domains"), RUN_ORDER, ROW_KEY)
     accepted = classified.where(F.col("reason").isNull())
-    rows = silver_rows(accepted, F.col("fetched_at"), keep=run_order)
-    return first_per_key(rows, SILVER_KEYS, run_order).select(*SILVER.fieldNames())
+    rows = silver_rows(accepted, F.col("fetched_at"), keep=RUN_ORDER)
+    return first_per_key(rows, SILVER_KEYS, RUN_ORDER).select(*SILVER.fieldNames())

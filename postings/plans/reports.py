@@ -6,9 +6,9 @@ partitions by the whole sort key; ``limit`` after it keeps only k rows per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import rejections_by_reason, rejections_by_source, source_summary
@@ -22,6 +22,21 @@ RECENT_REPORT = ("provider", "scrape_mode", "source", "title", "url", "content",
                  "hourly_min", "hourly_max", "last_seen_at")
 
 
+def ranked(report: DataFrame, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """A sorted report with ``rank``, from 1, as its rows stand.
+
+    Rows are numbered within their sorted parts and stored; then each part starts from the
+    sum of those before it. Only one row for each part goes through a window on its own.
+    """
+    place = F.monotonically_increasing_id()
+    stored = store(report.select("*", place.alias("place")), "report")
+    parts = stored.withColumn("part", F.shiftright("place", 33))
+    before = Window.orderBy("part")
+    starts = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", (F.sum("n").over(before) - F.col("n")).alias("start"))
+    nth = F.col("place").bitwiseAND(F.lit(2**33 - 1))
+    return parts.join(starts, "part").select(*report.columns, (F.col("start") + nth + 1).alias("rank"))
+
+
 def in_gold_order(gold: DataFrame) -> DataFrame:
     return gold.orderBy(F.desc("hourly_max"), F.desc("last_seen_at"), "source", "result_id")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -44,12 +46,19 @@ RAW_RESULT = StructType(
     _fields(StringType(), "provider", "scrape_mode", "source", "title", "url", "content", "published", "raw_json")
 )
 
+# Where each result of a payload stands in run order.
+RESULT_ORDER = StructType(_fields(IntegerType(), "mode_ord") + _fields(LongType(), "query_ord", "response_id") + _fields(IntegerType(), "pos"))
+
 BRONZE = StructType(
     _fields(StringType(), "run_id", "source")
     + _fields(TimestampType(), "fetched_at")
     + _fields(StringType(), "query", "response_json")
+    + [StructField("result_order", ArrayType(RESULT_ORDER))]
 )
 
+# A finished step of a run; ``fetched_at`` is the time of the run's first attempt.
+LEDGER = StructType(_fields(StringType(), "run_id", "step") + _fields(TimestampType(), "fetched_at"))
+
 SILVER = StructType(
     _fields(StringType(), "provider", "scrape_mode", "source", "result_id", "title", "url", "content")
     + _fields(StringType(), "published", "raw_json")
@@ -69,8 +78,8 @@ GOLD = StructType(
 REJECTED = StructType(_fields(StringType(), "stage", "source", "reason", "title", "url", "content"))
 
 
-def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of ``schema`` in order; those the table lacks are NULL.
+def align_to_schema(df: DataFrame, schema: StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns of ``schema`` in order, then those to ``keep``; those the table lacks are NULL.
 
     Upgrades tables written before a column existed; on a current table it is a
     plain projection.
@@ -80,5 +89,6 @@ def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
         *(
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
-        )
+        ),
+        *keep,
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,22 +39,36 @@ _local_folder: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset, as in local tests, a new local folder is used.
+    Only a local session may leave it unset, as in tests; it gets a new local folder. On a
+    cluster a folder of the driver would be out of the executors' sight.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _local_folder:
             _local_folder.append(tempfile.mkdtemp(prefix="postings-"))
         folder = _local_folder[0]
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return the table.
 
     Later steps start from the files, so a lost executor costs only its own tasks,
     and each step reads only the columns it needs.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``materialize`` whose tables are deleted at the end, also after a failure."""
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    try:
+        yield lambda df, name: materialize(df, name, folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -61,7 +61,7 @@ PROVIDERS = (
         name="google",
         supports=(RSS,),
         feed_endpoint="https://news.google.com/rss/search",
-        feed_parameters=(("hl", "en-NZ"), ("gl", "NZ"), ("ceid", "NZ%3Aen")),
+        feed_parameters=(("hl", "en-NZ"), ("gl", "NZ"), ("ceid", "NZ:en")),
     ),
     Provider(name="bing", supports=(RSS,)),
 )
@@ -87,6 +87,6 @@ class RunSettings:
     min_rate: float = MIN_RATE
     # Responses per bronze row: bounds what one task must hold for one payload.
     responses_per_payload: int = 64
-    # Batches up to this size are broadcast to the silver table instead of shuffling it.
-    broadcast_bytes: int = 64 * 1024 * 1024
-    silver_buckets: int = 8
+    # Buckets of silver; a current version with another number is spread anew. Without it, a
+    # version keeps its number and a first load gets a bucket for each 200 MB of text.
+    silver_buckets: int | None = None

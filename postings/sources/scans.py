@@ -9,10 +9,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions import feeds as feed_functions
 from ..functions import html as html_functions
-from ..schemas import PAYLOAD
+from ..schemas import PAYLOAD, RESULT_ORDER
 
 
 def unnest(df: DataFrame, keep: Sequence[str], items: Column) -> DataFrame:
@@ -72,14 +73,18 @@ def read_rss_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_payloads(bronze: DataFrame, keep: Sequence[str] = ("run_id", "source", "fetched_at")) -> DataFrame:
-    """One row per stored result: ``payload_provider, payload_mode, allowed_domains, pos`` and the item."""
-    parsed = bronze.select(*keep, F.from_json("response_json", PAYLOAD).alias("payload"))
+    """One row per stored result: ``payload_provider, payload_mode, allowed_domains, pos`` and the item.
+
+    ``order`` is its place in run order, NULL for rows that were stored without.
+    """
+    order = F.col("result_order") if "result_order" in bronze.columns else F.lit(None).cast(ArrayType(RESULT_ORDER))
+    parsed = bronze.select(*keep, order.alias("result_order"), F.from_json("response_json", PAYLOAD).alias("payload"))
     named = parsed.select(
         *keep,
         F.col("payload.provider").alias("payload_provider"),
         F.col("payload.mode").alias("payload_mode"),
         F.col("payload.allowed_domains").alias("allowed_domains"),
-        F.transform("payload.results", lambda item, i: F.struct(i.alias("pos"), item.alias("item"))).alias("results"),
+        F.transform("payload.results", lambda item, i: F.struct(i.alias("pos"), item.alias("item"), F.get("result_order", i).alias("order"))).alias("results"),
     )
     described = (*keep, "payload_provider", "payload_mode", "allowed_domains")
-    return unnest(named, described, F.col("results")).select(*described, "pos", "item.*")
+    return unnest(named, described, F.col("results")).select(*described, "pos", "order", "item.*")

@@ -2,7 +2,7 @@
 
 Each trigger ingests the response files that arrived since the last one, as one run.
 The checkpoint remembers which files were taken; a batch that is repeated after a
-failure has the same run id, so the steps it had finished are left out.
+failure has the same run id and keeps the time of its first attempt.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ def ingest_arrivals(
 
     Without ``every`` the query takes what has arrived and ends, for a scheduler that
     starts it hourly; with it (``"1 hour"``) it keeps running. Run ids are
-    ``settings.run_id`` and the batch number. A batch without any result is skipped.
+    ``settings.run_id`` and the batch number. A batch without any result publishes nothing;
+    its payloads, rejected rows, quarantine and counts are kept like any other's.
     """
 
     def run(batch: DataFrame, number: int) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from postings.functions import entities, html, rates, responses, searches, text, times, urls
 from postings.operators import aggregates, classify, dedupe, domains, envelope, expand, providers, upsert
 from postings.plans import collect, ingest, maintenance, reports
-from postings.schemas import SILVER, SILVER_KEPT, SILVER_KEYS, align_to_schema
+from postings.schemas import BRONZE, SILVER, SILVER_KEPT, SILVER_KEYS, align_to_schema
 from postings.session import materialize, shared_folder
 from postings.settings import PROVIDERS, SITE_FILTERS
 from postings.sinks import tables as sinks
@@ -183,11 +183,16 @@ def sk1(spark, sf):
         rows = times.stamp(fx.event_rows(spark, sf), run, fx.RUN.fetched_at)
         sinks.append_bronze(
             rows.select(
-                "run_id", "source", "fetched_at", F.lit("{}").alias("query"), F.col("content").alias("response_json")
+                "run_id",
+                "source",
+                "fetched_at",
+                F.lit("{}").alias("query"),
+                F.col("content").alias("response_json"),
+                F.lit(None).cast(BRONZE["result_order"].dataType).alias("result_order"),
             ),
             store,
         )
-    return sinks.read_bronze(spark, store)
+    return sinks.read_bronze(spark, store).drop("result_order")
 
 
 @register("sk2_silver_upsert_sink", query("event_merged", select=f"SELECT {sql.SILVER} FROM event_merged"))
@@ -235,24 +240,24 @@ def sk4(spark, sf):
 
 @register(
     "sk5_staging_view",
-    query("event_batch", select="SELECT source, count(*) AS rows, max(last_seen_at) AS latest FROM event_batch GROUP BY 1"),
+    query("event_silver", select="SELECT source, count(*) AS rows, max(last_seen_at) AS latest FROM event_silver GROUP BY 1"),
 )
 def sk5(spark, sf):
-    fx.event_batch(spark, sf).createOrReplaceTempView("staged_results")
+    fx.event_silver(spark, sf).createOrReplaceTempView("staged_results")
     return spark.sql("SELECT source, count(*) AS rows, max(last_seen_at) AS latest FROM staged_results GROUP BY source")
 
 
 @register(
     "sk6_schema_upgrade",
     query(
-        "event_target",
+        "event_silver",
         select="""SELECT NULL::VARCHAR AS provider, NULL::VARCHAR AS scrape_mode, source, result_id, title, url, content,
             NULL::VARCHAR AS published, NULL::VARCHAR AS raw_json, hourly_min, hourly_max, first_seen_at, last_seen_at
-        FROM event_target""",
+        FROM event_silver""",
     ),
 )
 def sk6(spark, sf):
-    legacy = fx.event_target(spark, sf).drop("provider", "scrape_mode", "published", "raw_json")
+    legacy = fx.event_silver(spark, sf).drop("provider", "scrape_mode", "published", "raw_json")
     return align_to_schema(legacy, SILVER)
 
 
@@ -354,23 +359,32 @@ def pr3(spark, sf):
     return classify.silver_rows(accepted, fx.RUN.fetched_at)
 
 
-@register("pr4_gold_columns", query("event_target", select=f"SELECT {sql.GOLD} FROM event_target WHERE hourly_max >= 20"))
+@register("pr4_gold_columns", query("event_silver", select=f"SELECT {sql.GOLD} FROM event_silver WHERE hourly_max >= 20"))
 def pr4(spark, sf):
-    return classify.gold_rows(fx.event_target(spark, sf), 20)
+    return classify.gold_rows(fx.event_silver(spark, sf), 20)
+
+
+_stored: dict[tuple[str, str], object] = {}
 
 
 def stored_silver(spark, sf):
-    """The rate texts as a stored silver table, which filters and columns are pushed into."""
-    return materialize(fx.rate_silver(spark, sf), "silver")
+    """The rate texts as a stored silver table, which filters and columns are pushed into.
+
+    Written once for a session and folder, in several files.
+    """
+    where = (spark.sparkContext.applicationId, sf)
+    if where not in _stored:
+        _stored[where] = materialize(fx.rate_silver(spark, sf).repartition(spark.sparkContext.defaultParallelism), "silver")
+    return _stored[where]
 
 
-def report_columns(columns) -> str:
-    return ", ".join(columns)
+GOLD_REPORT = "provider, source, title, hourly_min, hourly_max, url, content, last_seen_at"
+GOLD_VIEW = "provider, scrape_mode, source, title, hourly_min, hourly_max, url, content, last_seen_at"
 
 
 @register(
     "pr5_gold_report",
-    query("rate_silver", select=f"SELECT {report_columns(reports.GOLD_REPORT)} FROM rate_silver WHERE hourly_max >= 125"),
+    query("rate_silver", select=f"SELECT {GOLD_REPORT} FROM rate_silver WHERE hourly_max >= 125"),
 )
 def pr5(spark, sf):
     return reports.gold_report(classify.gold_rows(stored_silver(spark, sf), 125))
@@ -378,19 +392,19 @@ def pr5(spark, sf):
 
 @register(
     "pr5_gold_view",
-    query("rate_silver", select=f"SELECT {report_columns(reports.GOLD_VIEW)} FROM rate_silver WHERE hourly_max >= 125"),
+    query("rate_silver", select=f"SELECT {GOLD_VIEW} FROM rate_silver WHERE hourly_max >= 125"),
 )
 def pr5_view(spark, sf):
     return reports.gold_view(classify.gold_rows(stored_silver(spark, sf), 125))
 
 
 RECENT = """SELECT provider, scrape_mode, source, title, url, content, hourly_min, hourly_max, last_seen_at
-    FROM event_target ORDER BY last_seen_at DESC, source, result_id LIMIT {}"""
+    FROM event_silver ORDER BY last_seen_at DESC, source, result_id LIMIT {}"""
 
 
-@register("pr6_recent_columns", query("event_target", select=RECENT.format(100)))
+@register("pr6_recent_columns", query("event_silver", select=RECENT.format(100)))
 def pr6(spark, sf):
-    return reports.recent_report(fx.event_target(spark, sf))
+    return reports.recent_report(fx.event_silver(spark, sf))
 
 
 @register(
@@ -616,7 +630,7 @@ def jn1(spark, sf):
 @register("jn1_upsert_small_batch", EVENT_MERGED)
 def jn1_small(spark, sf):
     target, batch = fx.event_target(spark, sf), fx.event_batch(spark, sf)
-    small = ingest.batch_bytes(batch) <= fx.RUN.broadcast_bytes
+    small = ingest.batch_bytes(batch) <= 64 * 1024 * 1024
     return upsert.upsert(target, batch, SILVER_KEYS, SILVER_KEPT, small_batch=small)
 
 
@@ -669,7 +683,7 @@ def jn4(spark, sf):
         .otherwise(F.concat(F.lower("n_name"), F.lit(".example.org")))
     )
     listed = nations.select(name.alias("domain"))
-    return domains.rows_in_domains(fx.order_urls(spark, sf), listed, ["id"], url="raw_url").select("id", "raw_url")
+    return domains.rows_in_domains(fx.order_urls(spark, sf), listed, url="raw_url", store=materialize).select("id", "raw_url")
 
 
 # --- aggregations ---------------------------------------------------------
@@ -694,16 +708,28 @@ def ingest_rejected(spark, sf):
     return run_plan(spark, sf).rejected.where(F.col("stage") == ingest.INGEST_STAGE)
 
 
-@register("ag2_rejected_by_reason", query("run_rejected", select=RUN_REJECTED.format("reason, count(*) AS rows")))
+@register(
+    "ag2_rejected_by_reason",
+    query(
+        "run_rejected",
+        select=f"""SELECT *, row_number() OVER (ORDER BY rows DESC, reason) AS rank
+        FROM ({RUN_REJECTED.format("reason, count(*) AS rows")})""",
+    ),
+)
 def ag2(spark, sf):
-    return aggregates.rejections_by_reason(ingest_rejected(spark, sf))
+    return reports.ranked(reports.reason_report(ingest_rejected(spark, sf)), materialize)
 
 
 @register(
-    "ag3_rejected_by_source", query("run_rejected", select=RUN_REJECTED.format("source, reason, count(*) AS rows"))
+    "ag3_rejected_by_source",
+    query(
+        "run_rejected",
+        select=f"""SELECT *, row_number() OVER (ORDER BY rows DESC, source, reason) AS rank
+        FROM ({RUN_REJECTED.format("source, reason, count(*) AS rows")})""",
+    ),
 )
 def ag3(spark, sf):
-    return aggregates.rejections_by_source(ingest_rejected(spark, sf))
+    return reports.ranked(reports.source_reason_report(ingest_rejected(spark, sf)), materialize)
 
 
 @register(
@@ -772,7 +798,7 @@ BRONZE_SQL = query(
 
 @register("ag7_payload_envelope", BRONZE_SQL)
 def ag7(spark, sf):
-    return run_plan(spark, sf).bronze
+    return run_plan(spark, sf).bronze.drop("result_order")
 
 
 @register(
@@ -834,24 +860,37 @@ def dd3(spark, sf):
     "so1_gold_order",
     query(
         "rate_silver",
-        select=f"SELECT {sql.GOLD} FROM rate_silver WHERE hourly_max >= 125 ORDER BY hourly_max DESC, last_seen_at DESC",
+        select=f"""SELECT {sql.GOLD}, row_number() OVER (ORDER BY hourly_max DESC, last_seen_at DESC, source, result_id) AS rank
+        FROM rate_silver WHERE hourly_max >= 125""",
     ),
 )
 def so1(spark, sf):
-    return reports.in_gold_order(classify.gold_rows(stored_silver(spark, sf), 125))
+    return reports.ranked(reports.in_gold_order(classify.gold_rows(stored_silver(spark, sf), 125)), materialize)
 
 
 @register(
     "so2_recent_top_k",
-    query("rate_silver", select=RECENT.format(25).replace("event_target", "rate_silver")),
+    query(
+        "rate_silver",
+        select="""SELECT provider, scrape_mode, source, title, url, content, hourly_min, hourly_max, last_seen_at,
+            row_number() OVER (ORDER BY last_seen_at DESC, source, result_id) AS rank FROM rate_silver
+        QUALIFY rank <= 25""",
+    ),
 )
 def so2(spark, sf):
-    return reports.recent_report(stored_silver(spark, sf), 25)
+    return reports.ranked(reports.recent_report(stored_silver(spark, sf), 25), materialize)
 
 
-@register("so3_summary_order", query("rate_silver", select=SUMMARY.format("rate_silver") + " ORDER BY total_rows DESC"))
+@register(
+    "so3_summary_order",
+    query(
+        "rate_silver",
+        select=f"""SELECT *, row_number() OVER (ORDER BY total_rows DESC, provider, scrape_mode, source) AS rank
+        FROM ({SUMMARY.format("rate_silver")})""",
+    ),
+)
 def so3(spark, sf):
-    return reports.summary_report(stored_silver(spark, sf))
+    return reports.ranked(reports.summary_report(stored_silver(spark, sf)), materialize)
 
 
 SAMPLE = "stage, source, reason, title, url, content"
@@ -861,12 +900,12 @@ SAMPLE = "stage, source, reason, title, url, content"
     "so4_rejected_sample",
     query(
         "run_rejected",
-        select=f"""SELECT {SAMPLE} FROM run_rejected WHERE stage = 'ingest'
-        ORDER BY provider_ord, mode_ord, query_ord, response_id, pos LIMIT 20""",
+        select=f"""SELECT {SAMPLE}, row_number() OVER (ORDER BY provider_ord, mode_ord, query_ord, response_id, pos) AS rank
+        FROM run_rejected WHERE stage = 'ingest' QUALIFY rank <= 20""",
     ),
 )
 def so4(spark, sf):
-    return reports.rejected_sample(ingest_rejected(spark, sf)).select(*SAMPLE.split(", "))
+    return reports.ranked(reports.rejected_sample(ingest_rejected(spark, sf)).select(*SAMPLE.split(", ")), materialize)
 
 
 @register(
@@ -1094,16 +1133,19 @@ def st15(spark, sf):
 
 
 TRADEME_PATH = """'https://www.trademe.co.nz/a/jobs/it/programming-development' || CASE WHEN local THEN '/auckland' ELSE '' END"""
+SITES = "'site:seek.co.nz ' || text || ' OR site:trademe.co.nz ' || text || ' OR site:nz.indeed.com ' || text"
 PAGE_URL_LISTS = f"""SELECT search_id, 'trademe' AS provider, [{TRADEME_PATH} || '/search?search_string='
             || {encoded("trim(array_to_string(roles, ' ') || CASE WHEN contract THEN ' contract' ELSE '' END)")},
             {TRADEME_PATH}] AS list FROM search_terms
-    UNION ALL SELECT search_id, 'indeed', ['https://nz.indeed.com/jobs?q=' || {encoded("text")}] FROM search_terms"""
+    UNION ALL SELECT search_id, 'indeed', ['https://nz.indeed.com/jobs?q=' || {encoded("text")}] FROM search_terms
+    UNION ALL SELECT search_id, 'google', ['https://www.google.com/search?q=' || {encoded(SITES)} || '&hl=en-NZ&gl=NZ'] FROM search_terms
+    UNION ALL SELECT search_id, 'bing', ['https://www.bing.com/search?q=' || {encoded(SITES)} || '&cc=NZ&setmkt=en-NZ'] FROM search_terms"""
 
 
 @register("st15_page_url", search_lists(PAGE_URL_LISTS, "url"))
 def st15_pages(spark, sf):
-    chosen = [p for p in PROVIDERS if p.name in ("trademe", "indeed")]
-    return expand.expand_page_urls(fx.searches(spark, sf), chosen)
+    chosen = [p for p in PROVIDERS if p.name != "seek"]
+    return expand.expand_page_urls(fx.searches(spark, sf), chosen, SITE_FILTERS)
 
 
 SLUG_LISTS = """SELECT search_id, 'seek' AS provider, list_transform(roles, lambda k: 'https://www.seek.co.nz/'
@@ -1158,15 +1200,92 @@ def jb1_rejected(spark, sf):
 
 @register("jb1_rebuild_from_bronze", RUN_SILVER)
 def jb1_rebuild(spark, sf):
-    # One payload per provider keeps the run order of its results.
-    settings = replace(fx.RUN, responses_per_payload=10**9)
+    bronze = materialize(ingest.plan_ingest(fx.run_responses(spark, sf), fx.RUN).bronze, "bronze")
+    return ingest.rebuild_batch(bronze, fx.RUN)
+
+
+@register("jb1_rebuild_small_payloads", RUN_SILVER)
+def jb1_rebuild_small(spark, sf):
+    """The number of responses in a payload does not matter."""
+    settings = replace(fx.RUN, responses_per_payload=3)
     bronze = materialize(ingest.plan_ingest(fx.run_responses(spark, sf), settings).bronze, "bronze")
     return ingest.rebuild_batch(bronze, settings)
 
 
-@register("jb2_reports", query("run_batch", select=SUMMARY.format("run_batch")))
+@register(
+    "jb1_run_tables",
+    query(
+        "run_rejected",
+        "run_responses",
+        "run_payloads",
+        select="""SELECT 'rejected ' || stage || ' ' || reason AS kept, count(*) AS rows FROM run_rejected GROUP BY ALL
+        UNION ALL SELECT 'quarantine ' || fetch_error, count(*) FROM run_responses WHERE fetch_error IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT 'bronze_rows', count(*) FROM run_payloads
+        UNION ALL SELECT 'warnings', count(*) FROM run_responses WHERE fetch_error IS NOT NULL""",
+    ),
+)
+def jb1_run_tables(spark, sf):
+    """What a run leaves beside its tables, read back by run."""
+    store = new_tables(spark)
+    left = ingest.run_ingest(spark, fx.run_responses(spark, sf), store, fx.RUN)
+    kept = lambda df, *text: df.groupBy(F.concat_ws(" ", *text).alias("kept")).agg(F.count(F.lit(1)).alias("rows"))
+    counts = left.metrics.select(F.explode(F.create_map(*[x for c in ("bronze_rows", "warnings") for x in (F.lit(c), F.col(c))])).alias("kept", "rows"))
+    return (
+        kept(left.rejected, F.lit("rejected"), "stage", "reason")
+        .unionByName(kept(left.quarantine, F.lit("quarantine"), "fetch_error"))
+        .unionByName(counts)
+    )
+
+
+JB2_COLUMNS = ("report", "rank", "provider", "scrape_mode", "source", "title", "url", "hourly_max", "total_rows")
+
+
+@register(
+    "jb2_reports",
+    query(
+        "run_batch",
+        select=f"""SELECT 'summary' AS report, row_number() OVER (ORDER BY total_rows DESC, provider, scrape_mode, source) AS rank,
+            provider, scrape_mode, source, NULL AS title, NULL AS url, NULL AS hourly_max, total_rows
+        FROM ({SUMMARY.format("run_batch")})
+        UNION ALL SELECT 'gold', row_number() OVER (ORDER BY hourly_max DESC, last_seen_at DESC, source, result_id),
+            provider, scrape_mode, source, title, url, hourly_max, NULL FROM run_batch WHERE hourly_max >= 125
+        UNION ALL (SELECT 'recent', row_number() OVER (ORDER BY last_seen_at DESC, source, result_id) AS rank,
+            provider, scrape_mode, source, title, url, hourly_max, NULL FROM run_batch QUALIFY rank <= 100)""",
+    ),
+)
 def jb2(spark, sf):
-    return reports.summary_report(run_plan(spark, sf).batch)
+    batch = materialize(run_plan(spark, sf).batch, "batch")
+    made = {
+        "summary": reports.summary_report(batch),
+        "gold": reports.gold_view(classify.gold_rows(batch, fx.RUN.min_rate)),
+        "recent": reports.recent_report(batch),
+    }
+    empty = {"title": "string", "url": "string", "hourly_max": "double", "total_rows": "bigint"}
+    rows = []
+    for name, report in made.items():
+        whole = reports.ranked(report, materialize).withColumn("report", F.lit(name))
+        rows.append(whole.withColumns({c: F.lit(None).cast(kind) for c, kind in empty.items() if c not in whole.columns}).select(*JB2_COLUMNS))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@register(
+    "jb3_cleanup_rerun",
+    query(
+        "run_payloads",
+        "run_batch",
+        select="""SELECT 'bronze_runs' AS table_name, count(*) AS rows FROM run_payloads
+            UNION ALL SELECT 'silver_results', count(*) FROM run_batch
+            UNION ALL SELECT 'gold_high_rate', count(*) FROM run_batch WHERE hourly_max >= 125""",
+    ),
+)
+def jb3_rerun(spark, sf):
+    """After a cleanup the same run id fills all tables again."""
+    store = new_tables(spark)
+    for step in (0, 1):
+        ingest.run_ingest(spark, fx.run_responses(spark, sf), store, fx.RUN)
+        if not step:
+            maintenance.cleanup(spark, store)
+    return maintenance.count_tables(spark, store).withColumn("table_name", F.substring_index("table_name", ".", -1))
 
 
 @register(

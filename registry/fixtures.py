@@ -119,6 +119,11 @@ def event_target(spark: SparkSession, sf: str) -> DataFrame:
     return _last_per_key(rows).select(*SILVER.fieldNames())
 
 
+def event_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver over all events: the last sighting of each key, with its first time."""
+    return _last_per_key(event_rows(spark, sf)).select(*SILVER.fieldNames())
+
+
 def event_batch(spark: SparkSession, sf: str) -> DataFrame:
     """The batch of the run, one row per key."""
     rows = event_rows(spark, sf).where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp"))
@@ -247,16 +252,17 @@ def run_responses(spark: SparkSession, sf: str) -> DataFrame:
     """All stored responses of a run: a page per row of ``pages``, a feed per document.
 
     Pages are moved below the site of their provider and their links below its job
-    paths, so that the provider rules have results to accept.
+    paths, so that the provider rules have results to accept. A twentieth of the pages is of a
+    provider without pages, for the mode gate.
     """
     key = F.col("page_id")
-    site = F.when(key % 5 == 0, "https://www.seek.co.nz/page/").otherwise("https://www.trademe.co.nz/page/")
-    link = F.when(key % 5 == 0, F.lit('href="/job')).otherwise(
+    site = F.when(key % 2 == 0, "https://www.seek.co.nz/page/").otherwise("https://www.trademe.co.nz/page/")
+    link = F.when(key % 2 == 0, F.lit('href="/job')).otherwise(
         F.concat(F.lit('href="/a/jobs/auckland/x/listing/'), key % 7)
     )
     pages = read_table(spark, sf, "pages").select(
         (key * 2).alias("response_id"),
-        provider_name(key).alias("provider"),
+        F.when(key % 20 == 19, "indeed").when(key % 2 == 0, "seek").otherwise("trademe").alias("provider"),
         F.lit("html").alias("mode"),
         key.alias("query_ord"),
         F.lit("").alias("query"),

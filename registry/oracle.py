@@ -170,6 +170,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
             {{'v': CASE WHEN event_id % 3 <> 0 THEN value END}} AS rate FROM events""",
     ),
     "event_target": (("event_rows",), last_per_key(f"ts < TIMESTAMP '{SPLIT_TS}'", "min")),
+    "event_silver": (("event_rows",), last_per_key("true", "min")),
     "event_batch": (("event_rows",), last_per_key(f"ts >= TIMESTAMP '{SPLIT_TS}'", "max")),
     "event_merged": (
         ("event_target", "event_batch"),
@@ -244,23 +245,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     # --- the whole run ---
     "run_pages": (
         (),
-        f"""SELECT page_id * 2 AS response_id, page_id, {provider("page_id")} AS provider, 'html' AS mode,
+        f"""SELECT page_id * 2 AS response_id, page_id,
+            CASE WHEN page_id % 2 = 0 THEN 'seek' ELSE 'trademe' END AS provider, 'html' AS mode,
             page_id AS query_ord, '' AS query,
-            CASE WHEN page_id % 5 = 0 THEN 'https://www.seek.co.nz/page/' ELSE 'https://www.trademe.co.nz/page/' END
+            CASE WHEN page_id % 2 = 0 THEN 'https://www.seek.co.nz/page/' ELSE 'https://www.trademe.co.nz/page/' END
                 || page_id AS request_url,
             CASE WHEN page_id % 10 = 5 THEN 503 ELSE 200 END AS status,
             CASE WHEN page_id % 3 = 0 THEN 'cloudflare' ELSE 'nginx' END AS server,
             CASE WHEN page_id % 11 = 0 THEN 'application/pdf' ELSE 'text/html' END AS content_type,
-            replace(html, 'href="', CASE WHEN page_id % 5 = 0 THEN 'href="/job'
+            replace(html, 'href="', CASE WHEN page_id % 2 = 0 THEN 'href="/job'
                 ELSE 'href="/a/jobs/auckland/x/listing/' || page_id % 7 END) AS body
-        FROM pages WHERE page_id % 5 < 2""",
+        FROM pages WHERE page_id % 20 <> 19""",
     ),
     "run_responses": (
         ("run_pages",),
         f"""SELECT response_id, provider, mode, query_ord, query, request_url,
             CASE WHEN {BLOCKED} THEN 'blocked by site protection' WHEN status >= 400 THEN 'request failed'
                 WHEN content_type = 'application/pdf' THEN 'not html' END AS fetch_error,
-            (query_ord % 5)::INT AS provider_ord, 1 AS mode_ord
+            (query_ord % 2)::INT AS provider_ord, 1 AS mode_ord
         FROM run_pages
         UNION ALL SELECT doc_id * 2 + 1, {provider("doc_id")}, 'rss', doc_id, 'query ' || doc_id,
             'https://feeds.example.com/' || doc_id,
@@ -270,10 +272,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "run_links": (
         ("anchors", "titles"),
-        r"""SELECT page_id, pos, text, page_title, 'https://www.' || CASE WHEN page_id % 5 = 0
+        r"""SELECT page_id, pos, text, page_title, 'https://www.' || CASE WHEN page_id % 2 = 0
                 THEN 'seek.co.nz/job' || href ELSE 'trademe.co.nz/a/jobs/auckland/x/listing/' || page_id % 7 || href
                 END AS url
-        FROM anchors JOIN titles USING (page_id) WHERE page_id % 5 < 2
+        FROM anchors JOIN titles USING (page_id) WHERE page_id % 20 <> 19
         QUALIFY row_number() OVER (PARTITION BY page_id, href ORDER BY pos) = 1""",
     ),
     "run_items": (
@@ -284,8 +286,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM run_responses r JOIN (
             SELECT doc_id * 2 + 1 AS response_id, pos, title, url, content, published FROM feed_items
             UNION ALL SELECT page_id * 2, pos, title, url,
-                CASE WHEN page_id % 5 = 0 THEN page_title || ' ' || title ELSE title END, ''
-            FROM (SELECT *, CASE WHEN page_id % 5 = 0 THEN fallback ELSE {collapse(
+                CASE WHEN page_id % 2 = 0 THEN page_title || ' ' || title ELSE title END, ''
+            FROM (SELECT *, CASE WHEN page_id % 2 = 0 THEN fallback ELSE {collapse(
                 r"regexp_replace(" + collapse("fallback") +
                 r", '\s+(Listed\s+\w+|\d+\s+days?\s+ago|Be an early applicant|Quick apply|Job closes|Full-time|Part-time|Contract)\b.*$', '')"
             )} END AS title FROM (SELECT *, coalesce(nullif(text, ''), nullif(page_title, ''), url) AS fallback
@@ -326,20 +328,27 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         UNION ALL SELECT provider_ord, mode_ord, query_ord, response_id, pos, 'provider', provider, reject_reason,
             title, url, substring(content, 1, 300) FROM run_items WHERE reject_reason IS NOT NULL""",
     ),
+    # The payload that each usable response is in: 64 in a row of its provider.
+    "run_parts": (
+        ("run_responses",),
+        """SELECT *, (row_number() OVER (PARTITION BY provider ORDER BY mode_ord, query_ord, response_id) - 1) // 64 AS part
+        FROM run_responses WHERE fetch_error IS NULL""",
+    ),
     "run_payloads": (
-        ("run_items", "run_responses"),
+        ("run_items", "run_parts"),
         """SELECT provider, part, coalesce(results, []) AS results, queries, feed_urls, urls, modes
-        FROM (SELECT provider, query_ord // 64 AS part,
-                list(query ORDER BY query_ord) FILTER (mode = 'rss') AS queries,
-                list(request_url ORDER BY query_ord) FILTER (mode = 'rss') AS feed_urls,
-                list(request_url ORDER BY query_ord) FILTER (mode = 'html') AS urls,
+        FROM (SELECT provider, part,
+                list(query ORDER BY query_ord, response_id) FILTER (mode = 'rss') AS queries,
+                list(request_url ORDER BY query_ord, response_id) FILTER (mode = 'rss') AS feed_urls,
+                list(request_url ORDER BY query_ord, response_id) FILTER (mode = 'html') AS urls,
                 CASE WHEN bool_or(mode = 'rss') THEN ['rss'] ELSE [] END
                     || CASE WHEN bool_or(mode = 'html') THEN ['html'] ELSE [] END AS modes
-            FROM run_responses WHERE fetch_error IS NULL GROUP BY ALL)
-        LEFT JOIN (SELECT provider, query_ord // 64 AS part, list(struct_pack(title := title, url := url,
+            FROM run_parts GROUP BY ALL)
+        LEFT JOIN (SELECT provider, part, list(struct_pack(title := title, url := url,
                 content := content, published := published, mode := mode)
                 ORDER BY mode_ord, query_ord, response_id, pos) AS results
-            FROM run_items WHERE reject_reason IS NULL GROUP BY ALL) USING (provider, part)""",
+            FROM run_items JOIN (SELECT response_id, part FROM run_parts) USING (response_id)
+            WHERE reject_reason IS NULL GROUP BY ALL) USING (provider, part)""",
     ),
     "searches": (
         (),

@@ -1,6 +1,6 @@
 import json
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -180,15 +180,105 @@ def test_tables_over_two_runs(spark, store):
     assert (dev["first_seen_at"], dev["last_seen_at"]) == (datetime(2026, 1, 15, 12), datetime(2026, 1, 15, 13))
     assert second["https://www.seek.co.nz/job/2"] == first["https://www.seek.co.nz/job/2"]
     assert [r["url"] for r in spark.table(store.gold).collect()] == ["https://www.seek.co.nz/job/2"]
-    versions = [t.name for t in spark.catalog.listTables(store.database) if "__" in t.name]
-    assert sorted(versions) == ["gold_high_rate__r2", "silver_results__r2"]
+    assert [len(sinks.versions(spark, name)) for name in (store.silver, store.gold)] == [2, 2]
 
 
-def test_run_with_a_large_batch_takes_the_join(spark, store):
-    settings = replace(SETTINGS, broadcast_bytes=0)
-    ingest.run_ingest(spark, stored(spark), store, settings)
-    ingest.run_ingest(spark, stored(spark), store, replace(settings, run_id="r2"))
+def test_merge_keeps_a_file_for_each_bucket(spark, store):
+    ingest.run_ingest(spark, stored(spark), store, SETTINGS)
+    ingest.run_ingest(spark, stored(spark), store, replace(SETTINGS, run_id="r2"))
+    version = sinks.current_version(spark, store.silver)
     assert spark.table(store.silver).count() == 4
+    assert len(spark.table(version).inputFiles()) <= 4 and sinks.bucket_count(spark, version) == 4
+    # another number of buckets spreads the table anew; no number keeps it
+    ingest.run_ingest(spark, stored(spark), store, replace(SETTINGS, run_id="r3", silver_buckets=2))
+    ingest.run_ingest(spark, stored(spark), store, replace(SETTINGS, run_id="r4", silver_buckets=None))
+    version = sinks.current_version(spark, store.silver)
+    assert sinks.bucket_count(spark, version) == 2 and len(spark.table(version).inputFiles()) <= 2
+    assert spark.table(store.silver).count() == 4 and len(sinks.versions(spark, store.silver)) == sinks.KEPT_VERSIONS
+
+
+def test_runs_that_differ_in_punctuation_only(spark, store):
+    ingest.run_ingest(spark, stored(spark), store, replace(SETTINGS, run_id="run-1"))
+    feed = rss(("Other", "https://www.seek.co.nz/job/99", "c"))
+    ingest.run_ingest(spark, stored(spark, [response(1, "seek", "rss", 0, "https://feeds/1", feed)]), store, replace(SETTINGS, run_id="run.1"))
+    assert spark.table(store.silver).count() == 5
+
+
+def test_repeated_run_in_another_time_zone_and_day(spark, store):
+    east = replace(SETTINGS, fetched_at=datetime(2026, 1, 16, 1, tzinfo=timezone(timedelta(hours=13))))
+    ingest.run_ingest(spark, stored(spark), store, east)
+    ingest.run_ingest(spark, stored(spark), store, replace(east, fetched_at=east.fetched_at + timedelta(days=1)))
+    assert spark.table(store.bronze).count() == 3
+    assert spark.table(store.bronze).select("fetched_at").distinct().count() == 1
+
+
+def test_reader_outlives_a_run(spark, store):
+    ingest.run_ingest(spark, stored(spark), store, SETTINGS)
+    opened = sinks.read_silver(spark, store)
+    ingest.run_ingest(spark, stored(spark), store, replace(SETTINGS, run_id="r2"))
+    assert opened.count() == 4
+
+
+def test_concurrent_run_is_told(spark, store):
+    rows = spark.createDataFrame([(1,)], "a int")
+    sinks.publish(rows, store.gold, "v1")
+
+    from unittest import mock
+
+    names = iter([sinks.current_version(spark, store.gold), "someone else's"])
+    with mock.patch.object(sinks, "current_version", lambda *a: next(names)), pytest.raises(sinks.ConcurrentRun):
+        sinks.publish(rows, store.gold, "v2")
+    assert len(sinks.versions(spark, store.gold)) == 1
+
+
+def test_bronze_is_written_before_anything_is_classified(spark, store):
+    from unittest import mock
+
+    with mock.patch.object(ingest, "classify", side_effect=RuntimeError("broken")), pytest.raises(RuntimeError, match="broken"):
+        ingest.run_ingest(spark, stored(spark), store, SETTINGS)
+    assert spark.table(store.bronze).count() == 3
+    ingest.run_ingest(spark, stored(spark), store, SETTINGS)
+    assert spark.table(store.bronze).count() == 3 and spark.table(store.silver).count() == 4
+
+
+def test_what_a_run_leaves(spark, store):
+    left = ingest.run_ingest(spark, stored(spark), store, SETTINGS)
+    counts = left.metrics.first()
+    assert counts["bronze_rows"] == left.bronze.count() == 3
+    assert counts["warnings"] == left.quarantine.count() > 0
+    assert counts["rejected_rows"] == left.rejected.where("stage = 'ingest'").count()
+    import os
+
+    folder = shared_folder(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("run-")]
+
+
+def test_shared_folder_is_asked_for_off_local_masters(spark):
+    from unittest import mock
+
+    cluster = mock.MagicMock()
+    cluster.conf.get.return_value = None
+    cluster.sparkContext.master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(cluster)
+
+
+def test_payloads_are_bounded_however_responses_are_numbered(spark):
+    rows = [response(i, "seek", "rss", 0, f"https://feeds/{i}", SEEK_FEED) for i in range(7)]
+    rows += [response(10 + i, "seek", "html", 0, "https://www.seek.co.nz/page", SEEK_PAGE) for i in range(3)]
+    settings = replace(SETTINGS, responses_per_payload=4)
+    bronze = ingest.plan_ingest(stored(spark, rows), settings).bronze
+    sizes = sorted(len(p["queries"]) + len(p["urls"]) for p in (json.loads(r["response_json"]) for r in bronze.collect()))
+    assert sizes == [2, 4, 4]
+
+
+@pytest.mark.parametrize("width", [1, 3, 64])
+def test_rebuild_does_not_depend_on_the_payloads(spark, width):
+    rows = [response(i, "seek", "rss", 64 * i, f"https://feeds/{i}", rss((f"title {i}", "https://www.seek.co.nz/job/1", f"{100 + i} an hour"))) for i in range(8)]
+    settings = replace(SETTINGS, responses_per_payload=width)
+    plan = ingest.plan_ingest(stored(spark, rows), settings, store=materialize)
+    rebuilt = ingest.rebuild_batch(plan.bronze, settings).collect()
+    assert [r["title"] for r in rebuilt] == ["title 0"] and rebuilt == plan.batch.collect()
 
 
 def test_repeated_run_changes_nothing(spark, store):
@@ -217,8 +307,9 @@ def test_cleanup(spark, store):
     emptied, counts = maintenance.cleanup(spark, store)
     assert emptied == list(store.all())
     assert {r["rows"] for r in counts.collect()} == {0}
-    ingest.run_ingest(spark, stored(spark), store, replace(SETTINGS, run_id="r2"))
-    assert spark.table(store.silver).count() == 4
+    # the same run id fills the tables again
+    ingest.run_ingest(spark, stored(spark), store, SETTINGS)
+    assert [spark.table(name).count() for name in store.all()] == [3, 4, 2]
 
 
 def test_legacy_silver_is_upgraded(spark, store):
@@ -245,7 +336,7 @@ def test_upsert_does_not_shuffle_a_bucketed_table(spark, store):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     left = joined.split("FullOuter", 1)[1].split("Exchange", 1)[0]
-    assert "silver_results__r1" in left
+    assert "silver_results__000001" in left
     small = plan_of(upsert(target, batch, SILVER_KEYS, SILVER_KEPT, small_batch=True))
     assert "BroadcastHashJoin" in small and "FullOuter" not in small
 
@@ -289,6 +380,7 @@ def test_stream_of_arrivals(spark, store, tmp_path):
     assert arrive() == 4
     runs = {r["run_id"] for r in spark.table(store.bronze).select("run_id").distinct().collect()}
     assert runs == {"r1-0", "r1-1"}
+    assert spark.table(store.metrics).count() == 2
 
 
 def test_hot_url_is_not_one_task(spark):
@@ -298,7 +390,8 @@ def test_hot_url_is_not_one_task(spark):
                  (f"t{i}", f"https://www.seek.co.nz/job/a{i}", "c"), (f"u{i}", f"https://www.seek.co.nz/job/b{i}", "c")))
         for i in range(200)
     ]
-    out = ingest.plan_ingest(stored(spark, feeds, 8), SETTINGS, store=materialize)
+    keep = lambda df, name: materialize(df, name) if name == "collected" else df
+    out = ingest.plan_ingest(stored(spark, feeds, 8), SETTINGS, store=keep)
     plan = plan_of(out.classified)
     assert "Window" not in plan and "partial_min" in plan
     reasons = {r["reason"]: r["n"] for r in out.classified.groupBy("reason").agg(F.count("*").alias("n")).collect()}

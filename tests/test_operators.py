@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -101,7 +102,7 @@ def test_domain_join_under_skew(spark):
     hosts = ["www.big.nz"] * 400 + [f"h{i}.small.nz" for i in range(50)] + ["big.nz", "xbig.nz", "other.org", "BIG.nz:443"]
     df = spark.createDataFrame([(i, f"https://{h}/p") for i, h in enumerate(hosts)], "id int, url string")
     listed = spark.createDataFrame([("Big.nz",), ("h7.small.nz",), ("nothing.com",)], "domain string")
-    got = {r["id"] for r in domains.rows_in_domains(df, listed, ["id"], salts=4).collect()}
+    got = {r["id"] for r in domains.rows_in_domains(df, listed).collect()}
     want = {i for i, h in enumerate(hosts) if h in ("www.big.nz", "big.nz", "h7.small.nz")}
     assert got == want
 
@@ -158,7 +159,15 @@ def test_expansion(spark):
         "?search_string=software+developer+.NET+contract",
         "https://www.trademe.co.nz/a/jobs/it/programming-development/auckland",
         "https://nz.indeed.com/jobs?q=Auckland+contract+software+developer+.NET",
+        "https://www.google.com/search?q=Auckland+contract+software+developer+.NET&hl=en-NZ&gl=NZ",
+        "https://www.bing.com/search?q=Auckland+contract+software+developer+.NET&cc=NZ&setmkt=en-NZ",
     }
+    bing = [p for p in PROVIDERS if p.name == "bing"]
+    limited = expand.expand_page_urls(searches, bing, SITE_FILTERS[:2]).first()["url"]
+    one, two = (f"site%3A{site}+Auckland+contract+software+developer+.NET" for site in SITE_FILTERS[:2])
+    assert limited == f"https://www.bing.com/search?q={one}+OR+{two}&cc=NZ&setmkt=en-NZ"
+    with pytest.raises(ValueError, match="other"):
+        expand.expand_page_urls(searches, [replace(bing[0], name="other")])
 
 
 def test_normalize(spark):
@@ -188,11 +197,11 @@ def test_align_to_schema(spark):
 
 def test_summary_and_gold(spark):
     rows = [
-        ("seek", "rss", "seek", "1", "Senior .NET Contractor", "u1", "c", "", "{}", 120.0, 130.0, T[0], T[1]),
-        ("trademe", "html", "trademe", "2", "Intermediate Developer", "u2", "c", "", "{}", 80.0, 90.0, T[0], T[2]),
+        ("seek", "rss", "seek", "1", "Crane operator, nights", "u1", "c", "", "{}", 120.0, 130.0, T[0], T[1]),
+        ("trademe", "html", "trademe", "2", "Pastry cook", "u2", "c", "", "{}", 80.0, 90.0, T[0], T[2]),
         ("trademe", "html", "trademe", "3", "No rate", "u3", "c", "", "{}", None, None, T[0], T[0]),
     ]
     silver = spark.createDataFrame(rows, SILVER)
-    assert [r["title"] for r in classify.gold_rows(silver, 125).collect()] == ["Senior .NET Contractor"]
+    assert [r["title"] for r in classify.gold_rows(silver, 125).collect()] == ["Crane operator, nights"]
     summary = {r["source"]: tuple(r)[3:] for r in aggregates.source_summary(silver).collect()}
     assert summary == {"seek": (1, 1, 130.0, T[1]), "trademe": (2, 1, 90.0, T[2])}
