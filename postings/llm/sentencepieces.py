@@ -6,7 +6,6 @@ import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ SAMPLES = 2
 #: Exponent of a piece's weight; lower values make rarer segmentations likelier.
 ALPHA = 0.5
 #: Characters of text that a task works on at a time, and units whose lattices it remembers.
-CHUNK_CHARS, CACHE = 1_000_000, 350_000
+CHUNK_CHARS, CACHE = 1_000_000, 420_000
 
 #: The mark for a space, and the shift in Zipf's law.
 MARK, SHIFT = "▁", 2.7
@@ -85,6 +84,13 @@ def units_of(text: str, unit: re.Pattern) -> list[str]:
     return unit.findall(" " + text) if text else []
 
 
+class _Known(dict):
+    """First nodes by unit; -1 for a unit that is not known."""
+
+    def __missing__(self, unit: str) -> int:
+        return -1
+
+
 class Lattices:
     """The lattices of units, with the probability of each edge given its start.
 
@@ -123,7 +129,7 @@ class Lattices:
         return where, hit
 
     def reset(self) -> None:
-        self.first: dict[str, int] = {}
+        self.first = _Known()
         # room is doubled when it runs out; the last number in use of edge_first is an end
         self.n_nodes, self.n_edges = 0, 0
         self.edge_first = np.zeros(1, dtype=np.int64)
@@ -142,7 +148,7 @@ class Lattices:
         """The first node of each unit; lattices are made for units not yet known."""
         if len(self.first) > CACHE:
             self.reset()
-        found = np.fromiter(map(self.first.get, units, repeat(-1)), dtype=np.int64, count=len(units))
+        found = np.fromiter(map(self.first.__getitem__, units), dtype=np.int64, count=len(units))
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new = [units[i] for i in missing]
@@ -172,7 +178,8 @@ class Lattices:
         piece = piece[:, :used]
         weight = self.weights[piece]
         bare = piece[:, 0] < 0  # a character without a piece is spelled in bytes
-        piece[bare, 0] = len(self.vocabulary.pieces) + points[bare].astype(np.int64)
+        first = np.where(points[bare] < 0x80, self.vocabulary.first_byte, len(self.vocabulary.pieces))
+        piece[bare, 0] = first + points[bare].astype(np.int64)
         spelled = np.select([points[bare] < 0x80, points[bare] < 0x800, points[bare] < 0x10000, points[bare] < LITERAL], [1, 2, 3, 4], 3)
         weight[bare, 0] = spelled * self.vocabulary.weights[self.vocabulary.first_byte]
         # from the ends of the units back: the log of the summed weights of all ways to the end
@@ -403,11 +410,6 @@ def ids_of(lattices: Lattices, edges: np.ndarray) -> np.ndarray:
     if not len(spelled):
         return ids
     first = lattices.vocabulary.first_byte
-    points = ids[spelled] - n
-    if points.max() < 0x80:
-        ids = ids.copy()
-        ids[spelled] = first + points
-        return ids
     parts = np.split(ids, np.sort(np.concatenate([spelled, spelled + 1])))
     return np.concatenate([[first + b for b in (MARK if p[0] - n == LITERAL else chr(p[0] - n)).encode()] if len(p) and p[0] >= n else p for p in parts]).astype(np.int32)
 
@@ -424,12 +426,15 @@ class Decoder:
         self.data = np.frombuffer(b"".join(spelled), dtype=np.uint8)
         assert len(spelled) == n
 
-    def text(self, ids: np.ndarray) -> str:
-        size = self.size[ids]
+    def texts(self, ids: list[np.ndarray]) -> list[str]:
+        """The text of each list of ids."""
+        whole = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
+        size = self.size[whole]
         ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) + np.repeat(self.start[ids] - ends + size, size)
-        return self.data[place].tobytes().decode(errors="replace")[1:]
+        place = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.start[whole] - ends + size, size)
+        data = self.data[place].tobytes()
+        cuts = np.append(0, ends)[np.cumsum([0, *map(len, ids)])].tolist()
+        return [data[a:b].decode(errors="replace")[1:] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def row_seeds(keys: list[int | None], seed: int) -> np.ndarray:
@@ -477,19 +482,22 @@ def sampled_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, se
             fresh = [lattices.paths(nodes, mixed(each + np.uint64(m) * MULTIPLIERS[2:3])) for m in range(k)]
             out: list[tuple] = []
             ids: list[np.ndarray] = []
+            texts: list[str] = []
             for i, (key, text) in enumerate(rows):
                 a, b = begin[i], begin[i + 1]
                 own = [(edges[starts[a] : starts[b]], starts[a : b + 1] - starts[a]) for edges, starts in fresh]
                 for number, sample in enumerate(TopK(lattices, int(seeds[i]), own).run(k)):
                     found = ids_of(lattices, sample.edges)
                     ids.append(found)
-                    out.append((key, number, len(found), sample.log_prob, sample.perturbed, sample.inclusion, decoder.text(found) == text))
+                    out.append((key, number, len(found), sample.log_prob, sample.perturbed, sample.inclusion))
+                    texts.append(text)
             columns = list(zip(*out, strict=True))
+            decodes = [a == b for a, b in zip(decoder.texts(ids), texts, strict=True)]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-            arrays = [pa.array(c, t) for c, t in zip(columns[:6], kinds, strict=True)]
-            return pa.RecordBatch.from_arrays([*arrays, lists, pa.array(columns[6], pa.bool_())], names=["doc_id", "sample", "n_tokens", "log_prob", "perturbed", "inclusion", "ids", "decodes"])
+            arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*arrays, lists, pa.array(decodes, pa.bool_())], names=["doc_id", "sample", "n_tokens", "log_prob", "perturbed", "inclusion", "ids", "decodes"])
 
         held: list[tuple[int | None, str]] = []
         chars = 0
