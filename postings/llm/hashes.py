@@ -26,7 +26,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers 0 to n - 1 of the base and of its inverse, modulo 2**64."""
     if len(_powers[0]) < n:
         size = max(n, 1 << 16)
@@ -58,7 +58,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     first, last = edge[0::2], edge[1::2]
     if not len(first):
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    powers, inverse = _power_tables(len(data) + 1)
+    powers, inverse = power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_VALUES[_LOWER[data]] * powers[: len(data)], out=sums[1:])
     hashes = mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64) * MULTIPLIERS[2])

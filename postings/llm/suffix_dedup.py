@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import table, text_bytes, text_of
 from .exchange import SUFFIX_BITS, bucket_bits, counts_of_shard, dealt, key_counts, replies_to, shard_count
-from .hashes import MULTIPLIERS, _VALUES, mixed
+from .hashes import MULTIPLIERS, _VALUES, mixed, power_tables
 from .suffix_arrays import merged, owned_strings
 
 WIDTH = 50
@@ -25,6 +25,8 @@ STRETCH = 255
 SHARD_TEXT = 2_000_000
 #: Bits that the number of a bucket of stretches has beyond that of a bucket of keys.
 TEXT_BITS = 4
+#: Stretches copied or compared at a time.
+AT_ONCE = 8192
 #: A document without a key counts as later than all others.
 LAST = np.iinfo(np.int64).max
 #: Keys that a byte of text has, about: it sizes the buckets before keys are made.
@@ -107,9 +109,18 @@ def stretches_of(texts: Texts, bits: int) -> Stretches:
 
 
 def gathered(data: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of stretches of ``data`` in a row, and where each starts, and the end."""
+    """The bytes of stretches of ``data`` in a row, and where each starts, and the end.
+
+    Some thousands of stretches are copied at a time, as their places take more room than they.
+    """
     starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    return data[np.arange(starts[-1]) - np.repeat(starts[:-1] - at, lengths)], starts
+    out = np.empty(starts[-1], dtype=data.dtype)
+    for a in range(0, len(at), AT_ONCE):
+        b = min(a + AT_ONCE, len(at))
+        first = starts[a]
+        place = np.arange(first, starts[b]) - np.repeat(starts[a:b] - at[a:b], lengths[a:b])
+        out[first : starts[b]] = data[place]
+    return out, starts
 
 
 def alike(data: np.ndarray, starts: np.ndarray, key: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -118,9 +129,11 @@ def alike(data: np.ndarray, starts: np.ndarray, key: np.ndarray, owner: np.ndarr
     Stretches are brought together by a hash and then held against each other byte by byte.
     """
     lengths = np.diff(starts)
-    powers = np.multiply.accumulate(np.full(int(lengths.max(initial=1)), MULTIPLIERS[0]))
-    places = np.arange(starts[-1]) - np.repeat(starts[:-1], lengths)
-    hashes = np.add.reduceat(_VALUES[data] * powers[places], starts[:-1]) if len(lengths) else np.zeros(0, dtype=np.uint64)
+    powers, inverse = power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_VALUES[data] * powers[: len(data)], out=sums[1:])
+    hashes = (sums[starts[1:]] - sums[starts[:-1]]) * inverse[starts[:-1]]
+    del sums
     hashes = mixed(hashes + key * MULTIPLIERS[2] + lengths.astype(np.uint64))
     order = np.lexsort((owner, hashes))
     head = np.ones(len(order), dtype=bool)
@@ -129,11 +142,13 @@ def alike(data: np.ndarray, starts: np.ndarray, key: np.ndarray, owner: np.ndarr
     first[order] = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
     others = np.flatnonzero(first != np.arange(len(first)))
     others = others[(lengths[others] == lengths[first[others]]) & (key[others] == key[first[others]])]
-    mine, cut = gathered(data, starts[others], lengths[others])
-    theirs, _ = gathered(data, starts[first[others]], lengths[others])
-    same = np.add.reduceat(mine != theirs, cut[:-1], dtype=np.int64) == 0 if len(others) else np.zeros(0, dtype=bool)
     found = np.arange(len(first))
-    found[others[same]] = first[others[same]]
+    for a in range(0, len(others), AT_ONCE):
+        some = others[a : a + AT_ONCE]
+        mine, cut = gathered(data, starts[some], lengths[some])
+        theirs, _ = gathered(data, starts[first[some]], lengths[some])
+        same = np.add.reduceat(mine != theirs, cut[:-1], dtype=np.int64) == 0
+        found[some[same]] = first[some[same]]
     return found
 
 
