@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import string
 from collections.abc import Iterator
@@ -44,9 +45,9 @@ class Vocabulary:
         """The pattern of units: letters, signs that no piece has beside a letter, and all else up to a blank."""
         beside = {c for p in self.pieces for a, b in zip(p, p[1:], strict=False) for c in (a, b) if a.isalpha() or b.isalpha()}
         apart = "".join(re.escape(c) for c in string.punctuation if c not in beside)
-        signs = rf"| *[{apart}]+(?=[^\W\d_]|[ \n\r\t{MARK}]|$)" if apart else ""
+        signs = rf"| *+[{apart}]++(?=[^\W\d_]|[ \n\r\t{MARK}]|$)" if apart else ""
         after = rf"(?=[{apart} \n\r\t{MARK}]|$)"
-        self.unit = rf" *[^\W\d_]+{after}{signs}| *[^ \n\r\t{MARK}]+| +|[\n\r\t{MARK}]"
+        self.unit = rf" *+[^\W\d_]++{after}{signs}| *[^ \n\r\t{MARK}]+| +|[\n\r\t{MARK}]"
 
     @staticmethod
     def read(path: str, alpha: float = ALPHA) -> Vocabulary:
@@ -130,6 +131,7 @@ class Lattices:
 
     def reset(self) -> None:
         self.first = _Known()
+        gc.freeze()  # collections need not go through what the workers remember
         # room is doubled when it runs out; the last number in use of edge_first is an end
         self.n_nodes, self.n_edges = 0, 0
         self.edge_first = np.zeros(1, dtype=np.int64)
