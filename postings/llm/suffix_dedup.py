@@ -292,12 +292,13 @@ def repeated_spans(rows: DataFrame, bits: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(judge, "shard long, n long, spans binary")
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_texts: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, kept) for each row of ``docs``.
 
     Texts are UTF-8 bytes. Each byte goes that is part of a string of 50 bytes which also stands
     in a text with a lesser key; strings lie within one text and are judged as the texts
-    were given. ``spans`` are the maximal removed runs as (start, end), ``kept`` the bytes left.
+    were given. ``spans`` are the maximal removed runs as (start, end), ``kept`` the bytes left; without
+    ``with_texts`` these two are left out.
 
     A null text counts as empty; a text of fewer than 50 bytes keeps all. Rows with the same key
     don't count as earlier than each other, so they never remove each other's bytes. A null key
@@ -317,8 +318,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     def apply(part: pa.Table, found: pa.Table) -> pa.Table:
         names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
+        n = len(names) if with_texts else len(names) - 2
         if not part.num_rows:
-            return pa.table([pa.array([], k) for k in kinds], names=names)
+            return pa.table([pa.array([], k) for k in kinds[:n]], names=names[:n])
         texts = texts_of(part)
         change = np.zeros(len(texts.data) + 1, dtype=np.int32)
         for blob in found.column("spans").to_pylist():
@@ -331,15 +333,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             own = gone[a:b]
             edge = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0))
             left = texts.data[a:b][~own].tobytes()
-            spans = [{"start": s, "end": e} for s, e in edge.reshape(-1, 2).tolist()]
-            out.append((None if texts.ids[i] == LAST else int(texts.ids[i]), b - a, int(own.sum()), len(spans), hashlib.sha256(left).hexdigest(), spans, left))
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+            spans = [{"start": s, "end": e} for s, e in edge.reshape(-1, 2).tolist()] if with_texts else None
+            out.append((None if texts.ids[i] == LAST else int(texts.ids[i]), b - a, int(own.sum()), len(edge) // 2, hashlib.sha256(left).hexdigest(), spans, left)[:n])
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names=names[:n])
 
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept binary"
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += ", spans array<struct<start:long,end:long>>, kept binary" if with_texts else ""
     return rows.groupBy("shard").cogroup(repeated_spans(rows, bits).groupBy("shard")).applyInArrow(apply, schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: what is removed from each, and a digest of what is left."""
-    found = remove_repeats(table(spark, sf_dir, "documents"))
+    found = remove_repeats(table(spark, sf_dir, "documents"), with_texts=False)
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
