@@ -12,8 +12,8 @@ from .common import kept, let, row_ids, table, text_of, words_of
 SHINGLE_WORDS = 5
 #: Least share of an item's shingles that a document must have, in hundredths.
 CONTAINMENT = 80
-#: Tables of up to so many narrow rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 100_000
+#: Tables of up to so many bytes are broadcast; larger ones are joined by shuffle.
+BROADCAST_BYTES = 4_000_000
 
 
 def shingle_hashes(words: Column, size: int) -> Column:
@@ -35,10 +35,11 @@ def shingles_of(words: Column, size: int) -> Column:
     return let(words, lambda w: F.when(F.size(w) < size, F.array().cast("array<string>")).otherwise(F.array_distinct(runs(w))))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` written and counted: with a broadcast hint if it has few rows."""
+def small(df: DataFrame, row_bytes: Column | int = 24) -> DataFrame:
+    """``df`` written and measured: with a broadcast hint if it has few bytes."""
     df = kept(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    total = df.agg(F.sum(row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes))).first()[0]
+    return F.broadcast(df) if (total or 0) <= BROADCAST_BYTES else df
 
 
 def sketches(items: DataFrame, size: int, containment: int) -> DataFrame:
@@ -88,9 +89,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: int = CONTA
         found.append(candidates(docs, of_size, size, containment))
     if not found:
         return docs.select("r1", "r2", "key", F.lit(None).cast(items.schema["item"].dataType).alias("item"), F.lit(0).alias("n_shingles"), F.lit(0).alias("n_shared")).limit(0)
-    pairs = small(reduce(DataFrame.union, found).groupBy("r1", "r2").agg(F.collect_set("item").alias("items")))
+    pairs = small(reduce(DataFrame.union, found).groupBy("r1", "r2").agg(F.collect_set("item").alias("items")), 40 + 8 * F.size("items"))
     of_item = F.when(F.col("size") == SHINGLE_WORDS, shingles_of(F.col("words"), SHINGLE_WORDS)).otherwise(F.array(F.array_join("words", " ")))
-    shingles = small(items.select("item", of_item.alias("shingles")))
+    shingles = small(items.select("item", of_item.alias("shingles")), 24 + F.octet_length(F.array_join("shingles", "12345678")))
     plain = F.concat(F.lit(" "), F.array_join(words_of(F.col("text")), " "), F.lit(" "))
     shared = F.filter("shingles", lambda s: F.contains(F.col("plain"), F.concat(F.lit(" "), s, F.lit(" "))))
     return (

@@ -12,8 +12,8 @@ SAMPLES = 128
 #: Bits kept of a sample; those above hold the slot.
 SAMPLE_BITS = 24
 PART_BYTES = 4_000_000
-#: Rows numbered together when neighbours are sought.
-RANGE_ROWS = 20_000
+#: Rows that a range of keys is meant to have when neighbours are sought, and the most ranges.
+RANGE_ROWS, MOST_RANGES = 20_000, 2_000
 
 
 def terms_of(text: Column) -> Column:
@@ -110,7 +110,7 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     total, rows = text_bytes(docs, text)
     parts = max(64, total // PART_BYTES)
-    ranges = max(1, rows // RANGE_ROWS)
+    ranges = min(max(1, rows // RANGE_ROWS), MOST_RANGES)
     named = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
     n = F.char_length("text")
     texts = named.repartition(parts, "id").groupBy("id").agg(F.max(F.struct(n, F.xxhash64("text"), "text"))["text"].alias("text"))
