@@ -7,6 +7,7 @@ import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -199,8 +200,8 @@ class Lattices:
         row, column = np.nonzero(piece >= 0)
         log_p, piece, upto, target = weight[row, column], piece[row, column], upto[row, column], node[row] + column + 1
         upto[np.append(row[1:] != row[:-1], True)] = 2.0  # the last edge of a node takes what is left
-        with np.errstate(divide="ignore"):  # of all other edges of the node; none beside a sole edge
-            others = np.log1p(-np.minimum(np.exp(log_p), 1 - 1e-7))
+        # of all other edges of the node; none beside a sole edge
+        others = np.log1p(-np.minimum(np.exp(log_p), np.float32(1 - 1e-7)))
         others[np.bincount(row, minlength=len(points))[row] == 1] = -np.inf
         count = np.zeros(len(points) + len(units), dtype=np.int64)
         count[node] = np.bincount(row, minlength=len(points))
@@ -337,8 +338,7 @@ class TopK:
 
     def first(self) -> None:
         edges, starts = self.fresh[0]
-        unit = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        self._found(edges, unit, float(self._noise(1, 1)[0]), 0)
+        self._found(edges, np.repeat(np.arange(len(starts) - 1), np.diff(starts)), float(self._noise(1, 1)[0]), 0)
 
     def _best(self) -> tuple[float, _Node | int]:
         best, node = max(self.forks, key=lambda f: f[0], default=(-np.inf, None))
@@ -476,11 +476,11 @@ def sampled_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, se
         def encoded(rows: list[tuple[int | None, str]]) -> pa.RecordBatch:
             units = [units_of(text, lattices.unit) for _, text in rows]
             counts = np.array([len(u) for u in units])
-            nodes = lattices.nodes([u for own in units for u in own])
+            nodes = lattices.nodes(list(chain.from_iterable(units)))
             begin = np.concatenate([[0], np.cumsum(counts)])
             seeds = row_seeds([key for key, _ in rows], seed)
             place = np.arange(begin[-1]) - np.repeat(begin[:-1], counts)
-            each = mixed(np.repeat(seeds, counts) + place.astype(np.uint64) * BASE)
+            each = np.repeat(seeds, counts) + place.astype(np.uint64) * BASE
             fresh = [lattices.paths(nodes, mixed(each + np.uint64(m) * MULTIPLIERS[2:3])) for m in range(k)]
             out: list[tuple] = []
             ids: list[np.ndarray] = []
