@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from postings.llm.common import kept, table
 from postings.llm.decontaminate import decontaminate
 from postings.llm.jaccard_join import keep_one
-from postings.llm.line_dedup import dedup_lines
+from postings.llm.line_dedup import dedup_passages
 from postings.llm.sentencepieces import MODEL, Vocabulary, sampled_pieces
 from postings.llm.toxicity import THRESHOLD, fit, toxicity_scores
 
@@ -27,8 +27,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the chunks of lines that stood before; those left with nothing go."""
-    cleaned = dedup_lines(docs.select(COLUMNS))
+    """Documents without the passages of lines that stood before; those left with nothing go."""
+    cleaned = dedup_passages(docs.select(COLUMNS))
     left = cleaned.filter((F.col("n_removed_lines") == 0) | (F.trim("kept_text") != ""))
     n_chars = F.when(F.col("n_removed_lines") == 0, F.col("n_chars")).otherwise(F.char_length("kept_text"))
     return left.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", n_chars.cast("long").alias("n_chars"))
