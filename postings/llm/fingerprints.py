@@ -1,4 +1,4 @@
-"""Document fingerprints by consistent weighted sampling."""
+"""Document fingerprints by consistent weighted sampling, over units of weight."""
 
 from __future__ import annotations
 
@@ -27,53 +27,52 @@ def terms_of(text: Column) -> Column:
     return let(words_of(text), pairs)
 
 
-def uniform(term: Column, number: int) -> Column:
-    """A number in (0, 1), fixed by the term and its use."""
-    return (F.shiftrightunsigned(F.xxhash64(term, F.lit(number)), 11).cast("double") + 0.5) / float(2**53)
+def drawn(units: Column, samples: int) -> Column:
+    """The sorted samples of a text's units, one for each slot.
+
+    A slot orders all units in a way of its own: first those whose top bits name it, by their
+    hash, then all others by a hash of slot and unit. Its sample is the first of the text's
+    units in that order. The others are only drawn where the first ones are missing, which
+    texts of many units hardly have.
+    """
+    shift, low = 64 - (samples - 1).bit_length(), F.lit(2**SAMPLE_BITS - 1)
+    slot = lambda unit: F.shiftrightunsigned(unit, shift).cast("int")
+    entry = lambda i, sample: (i * 2**SAMPLE_BITS + sample.bitwiseAND(low).cast("int")).cast("int")
+
+    def all_slots(ordered: Column, first: Column) -> Column:
+        empty = F.array_except(F.sequence(F.lit(0), F.lit(samples - 1)), F.transform(first, slot))
+        others = F.transform(empty, lambda i: entry(i, F.array_min(F.transform(ordered, lambda u: F.xxhash64(i, u)))))
+        return F.sort_array(F.concat(F.transform(first, lambda u: entry(slot(u), u)), others))
+
+    firsts = lambda ordered: F.filter(ordered, lambda u, i: (i == 0) | (slot(u) != slot(F.get(ordered, i - 1))))
+    return let(F.sort_array(units), lambda ordered: let(firsts(ordered), lambda first: all_slots(ordered, first)))
 
 
 def fingerprints(texts: DataFrame, ids: list[str], text: str = "text", samples: int = SAMPLES) -> DataFrame:
-    """(ids, samples): for each row of ``texts`` its sorted samples, one for each filled slot.
+    """(ids, samples): for each row of ``texts`` its sorted samples, one for each slot.
 
-    A term is a pair of neighbouring words and weighs as much as it occurs. Each term draws
-    r and c from Gamma(2, 1) and b from U(0, 1), all from its hash: with t = floor(ln w / r + b)
-    and y = exp(r (t - b)), the sample of a set is the (term, t) whose c / (y exp r) is least.
-    Two sets agree in a sample with the probability of their generalised Jaccard similarity.
-    Terms are dealt to slots by a hash and each slot keeps its own sample, so a term is drawn
-    once, not once for each slot.
+    A term is a pair of neighbouring words and weighs as much as it occurs. Weights are whole
+    numbers, so a term of weight w is w units, (term, 1) to (term, w): what two texts share of
+    their units is the sum of the least weights, and all their units are the sum of the
+    greatest. A slot's sample is the first unit in the slot's own order, so in each slot two
+    texts agree with the probability of their generalised Jaccard similarity, however uneven
+    the weights and however short the texts are. ``samples`` is a power of two.
 
     ``texts`` must be dealt out by some of ``ids``: then neither step shuffles. Texts without
     words have no row in the result.
     """
-    term = F.col("term")
     counted = texts.select(*ids, F.explode(terms_of(F.col(text))).alias("term")).groupBy(*ids, "term").agg(F.count(F.lit(1)).alias("weight"))
-    drawn = counted.select(
-        *ids,
-        term,
-        F.log(F.col("weight").cast("double")).alias("log_w"),
-        (-F.log(uniform(term, 1) * uniform(term, 2))).alias("r"),
-        F.log(-F.log(uniform(term, 3) * uniform(term, 4))).alias("log_c"),
-        uniform(term, 5).alias("b"),
-    )
-    t = F.floor(F.col("log_w") / F.col("r") + F.col("b"))
-    sampled = drawn.withColumn("t", t).select(
-        *ids,
-        F.pmod(F.xxhash64(term, F.lit(6)), F.lit(samples)).cast("int").alias("slot"),
-        (F.col("log_c") - F.col("r") * (F.col("t") - F.col("b")) - F.col("r")).alias("rank"),
-        F.xxhash64(term, "t").alias("sample"),
-    )
-    least = sampled.groupBy(*ids, "slot").agg(F.min_by("sample", F.struct("rank", "sample")).alias("sample"))
-    entry = (F.col("slot") * 2**SAMPLE_BITS + F.col("sample").bitwiseAND(F.lit(2**SAMPLE_BITS - 1))).cast("int")
-    return least.groupBy(*ids).agg(F.sort_array(F.collect_list(entry)).alias("samples"))
+    units = counted.select(*ids, "term", F.explode(F.sequence(F.lit(1).cast("long"), F.col("weight"))).alias("unit")).select(*ids, F.xxhash64("term", "unit").alias("unit"))
+    return units.groupBy(*ids).agg(F.collect_list("unit").alias("units")).select(*ids, drawn(F.col("units"), samples).alias("samples"))
 
 
 def printed(samples: Column) -> Column:
-    """A fingerprint as text: 8 hex digits for each filled slot, in order of slots."""
+    """A fingerprint as text: 8 hex digits for each slot, in order of slots; none for a text without words."""
     return F.array_join(F.transform(samples, lambda e: F.lpad(F.hex(e.cast("long")), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of agreeing slots among those that either side fills; 1 for two empty texts."""
+    """Share of agreeing slots; 1 for two empty texts, 0 for an empty one and another."""
     slots = lambda samples: F.transform(samples, lambda e: F.shiftright(e, SAMPLE_BITS))
     either = F.size(F.array_union(slots(a), slots(b)))
     return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
