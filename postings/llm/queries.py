@@ -12,6 +12,7 @@ from .fingerprints import op3_fingerprints
 from .jaccard_join import op10_jaccard_join
 from .kd_shards import op9_kd_shards
 from .line_dedup import op5_line_dedup
+from .quality_rules import OP11_SQL, op11_quality_rules
 from .sentencepieces import op6_sampled_pieces
 from .suffix_dedup import op1_suffix_dedup
 from .suffix_tree_lm import op8_suffix_tree_lm
@@ -28,9 +29,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_tree_lm": op8_suffix_tree_lm,
     "op9_kd_shards": op9_kd_shards,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
     "op4_chat_examples": OP4_SQL,
+    "op11_quality_rules": OP11_SQL,
 }
