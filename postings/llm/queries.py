@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat import OP4_SQL, op4_chat_examples
 from .decontaminate import OP2_SQL, op2_decontaminate
+from .fill_in_middle import OP12_SQL, op12_fill_in_middle
 from .fingerprints import op3_fingerprints
 from .jaccard_join import op10_jaccard_join
 from .kd_shards import op9_kd_shards
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_kd_shards": op9_kd_shards,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_quality_rules": op11_quality_rules,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontaminate": OP2_SQL,
     "op4_chat_examples": OP4_SQL,
     "op11_quality_rules": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
