@@ -17,6 +17,7 @@ from .quality_rules import OP11_SQL, op11_quality_rules
 from .sentencepieces import op6_sampled_pieces
 from .suffix_dedup import op1_suffix_dedup
 from .suffix_tree_lm import op8_suffix_tree_lm
+from .token_alignment import op13_token_alignment
 from .toxicity import op7_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_quality_rules": op11_quality_rules,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
