@@ -24,10 +24,10 @@ from ..operators.classify import (
 from ..operators.dedupe import first_per_key
 from ..operators.envelope import bronze_rows, fold_payloads
 from ..operators.providers import allowlist
-from ..operators.upsert import upsert
 from ..schemas import SILVER, SILVER_KEPT, SILVER_KEYS
 from ..session import scratch
 from ..settings import RunSettings
+from ..sinks.merge_on_read import append_batch
 from ..sinks.tables import (
     Tables,
     append_bronze,
@@ -198,16 +198,16 @@ def run_ingest(spark: SparkSession, responses: DataFrame, tables: Tables, settin
 
 
 def publish_silver(spark: SparkSession, batch: DataFrame, tables: Tables, settings: RunSettings) -> None:
-    """Merge a batch into silver as a new version.
+    """Add a batch to silver, merged on read.
 
-    The current version is read once, in its buckets; only the batch is shuffled. A version
-    without buckets or with another number than wanted is spread anew.
+    The batch is written as a partition of silver's changes; the base version is not rewritten
+    until the changes pass a share of its bytes, then they are compacted into a new base, read in
+    its buckets with only the changes shuffled.
     """
     version = current_version(spark, tables.silver)
     have = bucket_count(spark, version) if version else 0
     buckets = settings.silver_buckets or have or max(1, -(-batch_bytes(batch) // BUCKET_BYTES))
-    merged = upsert(read_silver(spark, tables), batch, SILVER_KEYS, SILVER_KEPT)
-    publish(merged, tables.silver, settings.run_id, bucket_by=SILVER_KEYS, buckets=buckets, aligned=have == buckets)
+    append_batch(batch, tables.silver, settings.run_id, SILVER_KEYS, SILVER_KEPT, buckets=buckets)
 
 
 def rebuild_batch(bronze: DataFrame, settings: RunSettings) -> DataFrame:

@@ -208,12 +208,13 @@ def publish(
 def read_silver(spark: SparkSession, tables: Tables) -> DataFrame:
     """The silver table in its current schema; empty before the first run.
 
-    Reads the version itself, also where an older one lacks columns.
+    Reads the view: the base version with the batches merged on read, also where an older
+    version lacks columns.
     """
     version = current_version(spark, tables.silver)
     if version is None:
         return spark.createDataFrame([], SILVER)
-    return align_to_schema(spark.table(version), SILVER)
+    return align_to_schema(spark.table(tables.silver), SILVER)
 
 
 def read_gold(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -232,6 +233,7 @@ def truncate_tables(spark: SparkSession, tables: Tables) -> list[str]:
         if not spark.catalog.tableExists(name):
             continue
         version = current_version(spark, name)
+        spark.sql(f"DROP TABLE IF EXISTS {name}_changes")  # batches merged on read go with the table
         if version is None:
             spark.sql(f"TRUNCATE TABLE {name}")
         else:

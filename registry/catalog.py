@@ -18,6 +18,7 @@ from postings.plans import collect, ingest, maintenance, reports
 from postings.schemas import BRONZE, SILVER, SILVER_KEPT, SILVER_KEYS, align_to_schema
 from postings.session import materialize, shared_folder
 from postings.settings import PROVIDERS, SITE_FILTERS
+from postings.sinks import merge_on_read
 from postings.sinks import tables as sinks
 from postings.sources import scans, tables
 
@@ -195,16 +196,26 @@ def sk1(spark, sf):
     return sinks.read_bronze(spark, store).drop("result_order")
 
 
-@register("sk2_silver_upsert_sink", query("event_merged", select=f"SELECT {sql.SILVER} FROM event_merged"))
-def sk2(spark, sf):
+def merged_on_read(spark, sf, compacted):
+    """Silver of the events before the split, then the batch after it, merged on read."""
     store = new_tables(spark)
-    buckets = {"bucket_by": SILVER_KEYS, "buckets": 8}
-    sinks.publish(fx.event_target(spark, sf), store.silver, "v1", **buckets)
-    merged = upsert.upsert(sinks.read_silver(spark, store), fx.event_batch(spark, sf), SILVER_KEYS, SILVER_KEPT)
-    sinks.publish(merged, store.silver, "v2", **buckets)
+    for run, rows in (("v1", fx.event_target(spark, sf)), ("v2", fx.event_batch(spark, sf))):
+        merge_on_read.append_batch(rows, store.silver, run, SILVER_KEYS, SILVER_KEPT, buckets=8)
+    if compacted:
+        merge_on_read.compact(spark, store.silver, "v3", SILVER_KEYS, SILVER_KEPT, buckets=8)
     return spark.table(store.silver)
 
 
+@register("sk2_silver_upsert_sink", query("event_merged", select=f"SELECT {sql.SILVER} FROM event_merged"))
+def sk2(spark, sf):
+    return merged_on_read(spark, sf, compacted=False)
+
+
+@register("sk2_silver_compacted", query("event_merged", select=f"SELECT {sql.SILVER} FROM event_merged"))
+def sk2_compacted(spark, sf):
+    return merged_on_read(spark, sf, compacted=True)
+
+
 @register(
     "sk3_gold_replace", query("rate_silver", select=f"SELECT {sql.GOLD} FROM rate_silver WHERE hourly_max >= 125")
 )
