@@ -55,16 +55,6 @@ def _atom_item(entry: Column) -> Column:
     )
 
 
-def _present(array: Column) -> Column:
-    return F.filter(array, lambda x: x.isNotNull())
-
-
-def _all(own: Column, channels: Column, field: str) -> Column:
-    """Elements directly below the root and below its channels."""
-    nested = F.flatten(_present(F.transform(channels, lambda c: c[field])))
-    return F.concat(*(F.coalesce(part, F.array()) for part in (nested, own)))
-
-
 def _without_prefix(xml: Column) -> Column:
     """Rewrite ``<atom:feed>`` documents to unprefixed tags."""
     prefix = F.regexp_extract(xml, _ROOT + r"([A-Za-z_][\w.\-]*):feed[\s>]", 1)
@@ -76,35 +66,70 @@ def _without_prefix(xml: Column) -> Column:
     return F.when(prefix != "", plain).otherwise(xml)
 
 
-def _deep(xml: Column, tag: str) -> Column:
-    """All ``tag`` elements at any depth, put under a new root."""
-    found = F.regexp_extract_all(
-        F.regexp_replace(xml, r"(?s)<!--.*?-->", ""), F.lit(rf"(?s)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>"), F.lit(0)
-    )
-    return _parse(F.concat(F.lit("<found>"), F.array_join(found, ""), F.lit("</found>")))[tag]
+#: One token: a comment, CDATA, a declaration or instruction, a tag (quoted values may hold ``>``), or text.
+_TOKEN = r"""(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<![^>]*>|<(?:[^>"']|"[^"]*"|'[^']*')*>|[^<]+"""
+_OPEN = "struct<name:string,ns:string,start:long,kind:string>"
+_SPAN = "struct<start:long,stop:long,kind:string>"
+
+
+def _spans(xml: Column) -> Column:
+    """``(start, stop, kind)`` of every RSS item and Atom entry below the root, at any depth.
+
+    One pass over the tokens keeps the open elements on a stack with their namespace (declared
+    on the tag, else the parent's). An unprefixed ``item`` outside any default namespace is an
+    RSS item, an ``entry`` in the Atom namespace an Atom entry. Markup inside comments and CDATA
+    is one token and so never a tag. Offsets count code points; spans come in document order.
+    """
+
+    def step(acc: Column, t: Column) -> Column:
+        stack = acc["stack"]
+        top = F.get(stack, F.size(stack) - 1)
+        tag = t.rlike(r"^</?[A-Za-z_]")
+        closing = tag & t.startswith("</")
+        alone = tag & ~closing & t.endswith("/>")
+        opening = tag & ~closing & ~alone
+        name = F.regexp_extract(t, r"^</?([^\s/>]+)", 1)
+        declared = t.rlike(r"""\sxmlns\s*=\s*["']""")
+        ns = F.when(declared, F.regexp_extract(t, r"""\sxmlns\s*=\s*["']([^"']*)["']""", 1)).otherwise(F.coalesce(top["ns"], F.lit("")))
+        below_root = F.size(stack) > 0
+        kind = F.when(below_root & (name == "item") & (ns == ""), F.lit("item")).when(below_root & (name == "entry") & (ns == ATOM), F.lit("entry"))
+        end = acc["off"] + F.char_length(t)
+        pushed = F.struct(name.alias("name"), ns.alias("ns"), acc["off"].alias("start"), kind.alias("kind"))
+        stack = F.when(opening, F.array_append(stack, pushed)).when(closing, F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0)))).otherwise(stack)
+        out = (
+            F.when(alone & kind.isNotNull(), F.array_append(acc["out"], F.struct(acc["off"].alias("start"), end.alias("stop"), kind.alias("kind"))))
+            .when(closing & top["kind"].isNotNull(), F.array_append(acc["out"], F.struct(top["start"].alias("start"), end.alias("stop"), top["kind"].alias("kind"))))
+            .otherwise(acc["out"])
+        )
+        return F.struct(end.alias("off"), stack.alias("stack"), out.alias("out"))
+
+    tokens = F.regexp_extract_all(xml, F.lit(_TOKEN), F.lit(0))
+    start = F.struct(F.lit(0).cast("long").alias("off"), F.array().cast(f"array<{_OPEN}>").alias("stack"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    return F.array_sort(F.aggregate(tokens, start, step)["out"])
+
+
+def _elements(xml: Column, spans: Column, kind: str, schema: str) -> Column:
+    """Each span of ``kind`` parsed by itself: its own children only, entities and CDATA resolved."""
+    mine = F.filter(spans, lambda s: s["kind"] == kind)
+    return F.transform(mine, lambda s: F.from_xml(F.substring(xml, (s["start"] + 1).cast("int"), (s["stop"] - s["start"]).cast("int")), schema, _OPTIONS))
 
 
 def parse_feed(xml: Column) -> Column:
     """Parse a feed: ``struct<malformed,items:array<struct<pos,title,url,content,published>>>``.
 
-    RSS items come first, then Atom entries, each in document order. Missing texts
-    are empty. An RSS item counts only outside a default namespace, an Atom entry
-    only inside the Atom namespace. ``malformed`` holds the text of a document that
-    does not parse, whose ``items`` are empty.
+    RSS items come first, then Atom entries, each at any depth below the root and in document
+    order, also where one holds another. Missing texts are empty; a field is the first child of
+    its name of the element itself. An RSS item counts only outside a default namespace, an Atom
+    entry only inside the Atom namespace. ``malformed`` holds the text of a document that does
+    not parse, whose ``items`` are empty.
     """
 
     def assemble(text: Column, parsed: Column) -> Column:
-        rss = _all(parsed["item"], parsed["channel"], "item")
-        atom = _all(parsed["entry"], parsed["channel"], "entry")
-        # Elsewhere nested elements are rare; only documents without any pay for them.
         usable = parsed["_malformed"].isNull()
-        rss = F.when((F.size(rss) == 0) & usable & text.rlike(r"<item[\s>]"), _deep(text, "item")).otherwise(rss)
-        atom = F.when((F.size(atom) == 0) & usable & text.rlike(r"<entry[\s>]"), _deep(text, "entry")).otherwise(atom)
-        atom = F.filter(atom, lambda e: F.coalesce(e["_xmlns"], parsed["_xmlns"], F.lit("")) == ATOM)
-        rss = F.when(F.coalesce(parsed["_xmlns"], F.lit("")) == "", rss).otherwise(F.slice(rss, 1, 0))
-        merged = F.concat(
-            F.transform(F.coalesce(rss, F.array()), _rss_item), F.transform(F.coalesce(atom, F.array()), _atom_item)
-        )
+        spans = F.when(usable, _spans(text)).otherwise(F.array().cast(f"array<{_SPAN}>"))
+        rss = _elements(text, spans, "item", _ITEM)
+        atom = _elements(text, spans, "entry", _ENTRY)
+        merged = F.concat(F.transform(rss, _rss_item), F.transform(atom, _atom_item))
         items = F.transform(
             merged,
             lambda x, i: F.struct(i.alias("pos"), x["title"], x["url"], x["content"], x["published"]),

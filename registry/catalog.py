@@ -82,6 +82,28 @@ def sc3(spark, sf):
     return scans.scan_feeds(fx.feeds(spark, sf, fx.mixed_document), ["doc_id"]).select("doc_id", "pos", "title")
 
 
+# Lines of the nested feeds: how many RSS items a line gives, and where its first one and its entry stand.
+NESTED_LINES = """(SELECT doc_id, pos, line, CASE pos % 4 WHEN 2 THEN 2 WHEN 3 THEN 0 ELSE 1 END AS k,
+        1 + coalesce(sum(CASE pos % 4 WHEN 2 THEN 2 WHEN 3 THEN 0 ELSE 1 END) OVER w, 0) AS first_at,
+        coalesce(sum(CASE WHEN pos % 4 = 3 THEN 1 ELSE 0 END) OVER w, 0) AS entries_before,
+        1 + sum(CASE pos % 4 WHEN 2 THEN 2 WHEN 3 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id) AS items
+    FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+@register(
+    "sc1_nested_items",
+    query(
+        "lines",
+        select=f"""SELECT doc_id, 0 AS pos, 'first ' || doc_id AS title, '' AS content FROM documents
+        UNION ALL SELECT doc_id, first_at, CASE WHEN pos % 4 = 1 THEN 'doc ' || doc_id || ' <item> x' ELSE 'doc ' || doc_id END, line FROM {NESTED_LINES} AS r WHERE k > 0
+        UNION ALL SELECT doc_id, first_at + 1, 'inner ' || doc_id, '' FROM {NESTED_LINES} AS r WHERE k = 2
+        UNION ALL SELECT doc_id, items + entries_before, 'doc ' || doc_id, line FROM {NESTED_LINES} AS r WHERE k = 0""",
+    ),
+)
+def sc1_nested(spark, sf):
+    return scans.scan_feeds(fx.feeds(spark, sf, fx.nested_document), ["doc_id"]).select("doc_id", "pos", "title", "content")
+
+
 @register("sc4_anchor_scan", query("anchors", select="SELECT page_id, pos, href, text FROM anchors"))
 def sc4(spark, sf):
     return scans.scan_anchors(tables.read_table(spark, sf, "pages"), ["page_id"])

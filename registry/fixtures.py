@@ -218,6 +218,25 @@ def atom_document(doc: Column, text: Column) -> Column:
     return F.concat(F.lit(f"<feed{ATOM_NAMESPACE}>"), atom_entries(doc, text, ""), F.lit("</feed>"))
 
 
+def nested_document(doc: Column, text: Column) -> Column:
+    """Items at every depth: one at the root ahead of the channel, then by line: a direct item; one
+    inside a group whose CDATA title holds ``<item>``; a commented-out item, then an item that holds
+    another; an Atom entry inside the RSS channel."""
+    d = doc.cast("string")
+
+    def line(t: Column, i: Column) -> Column:
+        body = F.concat(F.lit("<description>"), escaped(t), F.lit("</description>"))
+        return (
+            F.when(i % 4 == 0, F.concat(F.lit("<item><title>doc "), d, F.lit("</title>"), body, F.lit("</item>")))
+            .when(i % 4 == 1, F.concat(F.lit("<group><item><title><![CDATA[doc "), d, F.lit(" <item> x]]></title>"), body, F.lit("</item></group>")))
+            .when(i % 4 == 2, F.concat(F.lit("<!-- <item><title>ghost</title></item> --><item><title>doc "), d, F.lit("</title>"), body, F.lit("<item><title>inner "), d, F.lit("</title></item></item>")))
+            .otherwise(F.concat(F.lit(f"<entry{ATOM_NAMESPACE}><title>doc "), d, F.lit("</title><summary>"), escaped(t), F.lit("</summary></entry>")))
+        )
+
+    head = F.concat(F.lit("<rss><item><title>first "), d, F.lit("</title></item><channel>"))
+    return F.concat(head, F.array_join(F.transform(document_lines(text), line), ""), F.lit("</channel></rss>"))
+
+
 def mixed_document(doc: Column, text: Column) -> Column:
     """Atom entries ahead of RSS items in one channel."""
     item = F.concat(F.lit("<item><title>rss "), doc.cast("string"), F.lit("</title></item>"))
