@@ -20,7 +20,7 @@ from .common import table
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points of text a task holds before it hands over a batch.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 400_000
 #: Statistics of id pairs up to so many bytes are broadcast; beyond, they meet documents by a salted shuffle.
 BROADCAST_BYTES = 64_000_000
 PAIR_BYTES = 48
@@ -80,6 +80,9 @@ class Encoders:
             self.a_bytes[i] = bytes(decode[c] for c in entry)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=vocab.piece_bpe)
         self.b_bytes = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
+        self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
+        self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        self._batch = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
 
     def _piece_bytes(self, i: int) -> bytes:
         if self.b.is_control(i) or self.b.is_unknown(i):
@@ -90,7 +93,7 @@ class Encoders:
         return piece.replace("▁", " ").encode()
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        a = [e.ids for e in self._batch([" " + t for t in texts], add_special_tokens=False)]
         b = self.b.encode(texts)
         return a, b
 
@@ -112,16 +115,28 @@ def galloping_common(short: list[int], long: list[int]) -> list[int]:
     return out
 
 
-def align(a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: list[bytes], whole: bytes) -> dict | None:
+@dataclass
+class Alignment:
+    """One text's alignment: counts, the groups as text, and its linked id pairs with their links."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    n_links: int
+    groups: str
+    pairs: np.ndarray  # (A id << B_BITS) | B id, ascending
+    links: np.ndarray
+
+
+def align(a_ids: list[int], b_ids: list[int], enc: Encoders, whole: bytes) -> Alignment | None:
     """Groups and links of one text's two encodings, or None if either does not spell ``whole``."""
     if not whole or not a_ids or not b_ids:
         return None
-    a_len = np.fromiter((len(a_bytes[i]) for i in a_ids), np.int64, len(a_ids))
-    b_len = np.fromiter((len(b_bytes[i]) for i in b_ids), np.int64, len(b_ids))
-    a_end, b_end = np.cumsum(a_len), np.cumsum(b_len)
+    a_arr, b_arr = np.asarray(a_ids, np.int64), np.asarray(b_ids, np.int64)
+    a_end, b_end = np.cumsum(enc.a_len[a_arr]), np.cumsum(enc.b_len[b_arr])
     if a_end[-1] != len(whole) or b_end[-1] != len(whole):
         return None
-    if b"".join(a_bytes[i] for i in a_ids) != whole or b"".join(b_bytes[i] for i in b_ids) != whole:
+    if b"".join(map(enc.a_bytes.__getitem__, a_ids)) != whole or b"".join(map(enc.b_bytes.__getitem__, b_ids)) != whole:
         return None
     a_list, b_list = a_end.tolist(), b_end.tolist()
     common = galloping_common(a_list, b_list) if len(a_list) <= len(b_list) else galloping_common(b_list, a_list)
@@ -132,28 +147,22 @@ def align(a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: lis
     na = np.bincount(a_group, minlength=groups)
     nb = np.bincount(b_group, minlength=groups)
     # links: every A occurrence with every B occurrence of its group, counted by id pair
-    a_arr, b_arr = np.asarray(a_ids, np.int64), np.asarray(b_ids, np.int64)
     b_start = np.concatenate([[0], np.cumsum(nb)])
-    a_rep = np.repeat(np.arange(len(a_ids)), nb[a_group])
-    offset = np.arange(len(a_rep)) - np.repeat(np.concatenate([[0], np.cumsum(nb[a_group])])[:-1], nb[a_group])
+    width = nb[a_group]
+    a_rep = np.repeat(np.arange(len(a_ids)), width)
+    offset = np.arange(len(a_rep)) - np.repeat(np.cumsum(width) - width, width)
     b_idx = b_start[a_group[a_rep]] + offset
     keys, links = np.unique((a_arr[a_rep] << B_BITS) | b_arr[b_idx], return_counts=True)
     # the groups as text: a ids by commas, a bar, b ids by commas; groups parted by semicolons
-    a_last = np.r_[a_group[1:] != a_group[:-1], True]
-    b_last = np.r_[b_group[1:] != b_group[:-1], True]
-    a_sep = np.where(a_last, "|", ",")
-    b_sep = np.where(b_last, ";", ",")
+    a_sep = np.where(np.r_[a_group[1:] != a_group[:-1], True], "|", ",")
+    b_sep = np.where(np.r_[b_group[1:] != b_group[:-1], True], ";", ",")
     order = np.lexsort((np.r_[np.arange(len(a_ids)), np.arange(len(b_ids))], np.r_[np.zeros(len(a_ids)), np.ones(len(b_ids))], np.r_[a_group, b_group]))
     ids = np.r_[a_arr, b_arr].astype(str)[order]
-    seps = np.r_[a_sep, b_sep][order]
-    text = "".join(np.char.add(ids, seps).tolist())[:-1]
-    return {
-        "n_a": len(a_ids), "n_b": len(b_ids), "n_groups": groups, "n_links": int(np.dot(na, nb)), "groups": text,
-        "pairs": [{"a": int(k >> B_BITS), "b": int(k & ((1 << B_BITS) - 1)), "links": int(c)} for k, c in zip(keys.tolist(), links.tolist(), strict=True)],
-    }
+    text = "".join(np.char.add(ids, np.r_[a_sep, b_sep][order]).tolist())[:-1]
+    return Alignment(len(a_ids), len(b_ids), groups, int(np.dot(na, nb)), text, keys, links.astype(np.int64))
 
 
-def aligned(docs: DataFrame, vocab: Vocabularies, key: str = "doc_id", text: str = "text") -> DataFrame:
+def aligned(docs: DataFrame, vocab: Vocabularies, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
     """One row for each row of ``docs``: rid, doc_id, n_a, n_b, n_groups, n_links, groups, pairs.
 
     A text is encoded as space + text by A and as text by B (which puts a space first), no
@@ -161,18 +170,28 @@ def aligned(docs: DataFrame, vocab: Vocabularies, key: str = "doc_id", text: str
     (A id, B id) pairs linked in the text with their number of occurrence links. A null or empty
     text, or one that either encoding does not spell exactly, has no tokens: zeros, ``groups``
     empty, no pairs. ``rid`` numbers the rows; other columns, whatever their names, stay behind.
+    With ``digest``, ``groups`` holds the lowercase hex sha256 of that text instead ('' stays '').
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = vocab.encoders()
+        empty = Alignment(0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
         def done(rows: list[tuple[int, int | None, str]]) -> pa.RecordBatch:
             a, b = enc.encode([t for _, _, t in rows])
-            out = []
-            for (rid, k, t), ai, bi in zip(rows, a, b, strict=True):
-                got = align(ai, bi, enc.a_bytes, enc.b_bytes, (" " + t).encode()) if t else None
-                out.append({"rid": rid, "doc_id": k, **(got or {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups": "", "pairs": []})})
-            return pa.RecordBatch.from_pylist(out, schema=ARROW)
+            found = [(align(ai, bi, enc, (" " + t).encode()) if t else None) or empty for (_, _, t), ai, bi in zip(rows, a, b, strict=True)]
+            keys = np.concatenate([f.pairs for f in found])
+            offsets = np.concatenate([[0], np.cumsum([len(f.pairs) for f in found])]).astype(np.int32)
+            pairs = pa.StructArray.from_arrays(
+                [pa.array((keys >> B_BITS).astype(np.int32)), pa.array((keys & ((1 << B_BITS) - 1)).astype(np.int32)), pa.array(np.concatenate([f.links for f in found]))], fields=list(PAIR)
+            )
+            groups = [hashlib.sha256(f.groups.encode()).hexdigest() if f.groups else "" for f in found] if digest else [f.groups for f in found]
+            columns = [
+                pa.array([r for r, _, _ in rows], pa.int64()), pa.array([k for _, k, _ in rows], pa.int64()),
+                *(pa.array([getattr(f, n) for f in found], pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")),
+                pa.array(groups, pa.large_string()), pa.ListArray.from_arrays(pa.array(offsets), pairs),
+            ]
+            return pa.RecordBatch.from_arrays(columns, schema=ARROW)
 
         rows: list[tuple[int, int | None, str]] = []
         chars = 0
@@ -205,7 +224,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def alignment_counts(docs: DataFrame, vocab: Vocabularies, key: str = "doc_id", text: str = "text") -> DataFrame:
+def alignment_counts(docs: DataFrame, vocab: Vocabularies, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
     """Each row's alignment with corpus-wide counts of its id pairs.
 
     An id pair's count is the number of rows (documents) whose text links it. Adds to
@@ -215,7 +234,7 @@ def alignment_counts(docs: DataFrame, vocab: Vocabularies, key: str = "doc_id",
     the documents by broadcast when their measured size allows it, else by a join salted
     ``SALTS`` ways.
     """
-    per_doc = written(aligned(docs, vocab, key, text), "alignment")
+    per_doc = written(aligned(docs, vocab, key, text, digest), "alignment")
     pairs = per_doc.select("rid", F.explode("pairs").alias("p")).select("rid", "p.a", "p.b", "p.links")
     counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_docs"))
     top = counts.groupBy("a").agg(F.max("n_docs").alias("top"))
@@ -235,6 +254,5 @@ def alignment_counts(docs: DataFrame, vocab: Vocabularies, key: str = "doc_id",
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of both encodings of all documents, with corpus-wide pair counts."""
-    out = alignment_counts(table(spark, sf_dir, "documents"), Vocabularies.read())
-    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups"), 256))
-    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+    out = alignment_counts(table(spark, sf_dir, "documents"), Vocabularies.read(), digest=True)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
