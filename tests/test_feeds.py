@@ -1,3 +1,4 @@
+import time
 from xml.sax.saxutils import escape
 
 from postings.functions.feeds import parse_feed
@@ -12,6 +13,8 @@ ATOM = """<?xml version="1.0" encoding="utf-8"?><feed xmlns="http://www.w3.org/2
 <content>c</content><updated>up</updated></entry><entry><title>T2</title><link/><summary></summary><content>cc</content>
 <published>p</published><updated>up</updated></entry></feed>"""
 
+ATOM_NS = "http://www.w3.org/2005/Atom"
+
 
 def items_of(evaluate, *documents):
     parsed = evaluate(parse_feed, [(d,) for d in documents], "x string")
@@ -64,3 +67,28 @@ def test_rss_files(spark, tmp_path):
     rows = read_rss_files(spark, str(tmp_path / "feed.xml")).collect()
     assert {(r["title"], r["url"], r["published"]) for r in rows} >= {(" A & B ", "https://h/1", "")}
     assert len(rows) == 2
+
+
+def test_odd_documents(evaluate):
+    got = items_of(
+        evaluate,
+        "<item><title>root</title><item><title>in</title></item></item>",
+        "<rss><m:item><title>m</title></m:item><item ><title>k</title></item ><items><title>z</title></items></rss>",
+        "<rss><channel><m:item><title>c</title></m:item></channel><x><item/></x></rss>",
+        "<rss><item><title>o</title><item><title>n</title></item></item><!-- <item> --><item><title>l</title></item></rss>",
+        f'<rss><x xmlns="{ATOM_NS}"><x><entry><title>e</title><item/></entry></x></x><entry/><x><item><title>i</title></item></x></rss>',
+        f'<feed xmlns="{ATOM_NS}"><entry xmlns=""><title>no</title></entry><entry><title>t</title></entry><item/></feed>',
+        "<rss><channel><item><title> xmlns =</title></item><item><![CDATA[<item>]]></item></channel></rss>",
+    )
+    titles = [[i[0] for i in items] for items in got]
+    assert titles == [["in"], ["k"], [""], ["o", "n", "l"], ["i", "e"], ["t"], [" xmlns =", ""]]
+
+
+def test_time_follows_the_length_of_a_feed(spark):
+    """Items neither are looked for from the feed's start nor parsed one by one."""
+    item = "<item><title>t</title><description>" + "é word " * 200 + "</description></item>"
+    for document in (f"<rss><channel>{item * 6000}</channel></rss>", f"<rss><channel>{f'<g>{item}</g>' * 3000}</channel></rss>"):
+        start = time.monotonic()
+        feeds = spark.createDataFrame([(1, document)], "feed_id int, xml string")
+        assert scan_feeds(feeds, ["feed_id"]).where("title = 't' AND length(content) = 1400").count() == document.count("<item>")
+        assert time.monotonic() - start < 20
