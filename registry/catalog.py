@@ -403,11 +403,11 @@ _stored: dict[tuple[str, str], object] = {}
 def stored_silver(spark, sf):
     """The rate texts as a stored silver table, which filters and columns are pushed into.
 
-    Written once for a session and folder, in several files.
+    Written once for a session and folder, by the tasks that scan the lines: no row is dealt anew.
     """
     where = (spark.sparkContext.applicationId, sf)
     if where not in _stored:
-        _stored[where] = materialize(fx.rate_silver(spark, sf).repartition(spark.sparkContext.defaultParallelism), "silver")
+        _stored[where] = materialize(fx.rate_silver(spark, sf), "silver")
     return _stored[where]
 
 
