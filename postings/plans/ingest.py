@@ -210,11 +210,14 @@ def publish_silver(spark: SparkSession, batch: DataFrame, tables: Tables, settin
     append_batch(batch, tables.silver, settings.run_id, SILVER_KEYS, SILVER_KEPT, buckets=buckets)
 
 
-def rebuild_batch(bronze: DataFrame, settings: RunSettings) -> DataFrame:
+def rebuild_batch(
+    bronze: DataFrame, settings: RunSettings, store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+) -> DataFrame:
     """The silver batch of stored bronze rows of one run, without the responses.
 
     Each result carries its place in run order, so neither the number of payloads nor their
-    order matters.
+    order matters. With ``store`` the payloads are parsed and the URLs are made canonical once:
+    the results are used twice, and tests of a lazy column are worked out once per mention.
     """
     items = scan_payloads(bronze, keep=("source", "fetched_at")).select("*", "order.mode_ord", "order.query_ord", "order.response_id", F.col("order.pos").alias("item_pos"))
     items = items.drop("order", "pos").withColumnRenamed("item_pos", "pos")
@@ -224,7 +227,7 @@ def rebuild_batch(bronze: DataFrame, settings: RunSettings) -> DataFrame:
     items = items.withColumn("provider_ord", order.otherwise(len(settings.providers)))
     keep = (*RUN_ORDER, "allowed_domains", "fetched_at")
     results = with_clean_url(normalize(items, F.col("source"), F.col("payload_provider"), F.col("payload_mode"), keep))
-    classified = classify(results, F.col("allowed_domains"), RUN_ORDER, ROW_KEY)
+    classified = store(classify(store(results, "results"), F.col("allowed_domains"), RUN_ORDER, ROW_KEY), "classified")
     accepted = classified.where(F.col("reason").isNull())
     rows = silver_rows(accepted, F.col("fetched_at"), keep=RUN_ORDER)
     return first_per_key(rows, SILVER_KEYS, RUN_ORDER).select(*SILVER.fieldNames())

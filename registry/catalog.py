@@ -809,7 +809,8 @@ def ag6(spark, sf):
 
 
 def run_payloads(spark, sf):
-    collected = collect.collect_responses(fx.run_responses(spark, sf), fx.RUN)
+    # Numbering reads the responses twice; stored, their bodies are scanned once.
+    collected = materialize(collect.collect_responses(fx.run_responses(spark, sf), fx.RUN), "collected")
     listed = providers.allowlist(PROVIDERS, SITE_FILTERS, F.col("provider"))
     return envelope.fold_payloads(collect.payload_input(collected), listed, fx.RUN.responses_per_payload)
 
@@ -1233,16 +1234,16 @@ def jb1_rejected(spark, sf):
 
 @register("jb1_rebuild_from_bronze", RUN_SILVER)
 def jb1_rebuild(spark, sf):
-    bronze = materialize(ingest.plan_ingest(fx.run_responses(spark, sf), fx.RUN).bronze, "bronze")
-    return ingest.rebuild_batch(bronze, fx.RUN)
+    bronze = materialize(run_plan(spark, sf).bronze, "bronze")
+    return ingest.rebuild_batch(bronze, fx.RUN, store=materialize)
 
 
 @register("jb1_rebuild_small_payloads", RUN_SILVER)
 def jb1_rebuild_small(spark, sf):
     """The number of responses in a payload does not matter."""
     settings = replace(fx.RUN, responses_per_payload=3)
-    bronze = materialize(ingest.plan_ingest(fx.run_responses(spark, sf), settings).bronze, "bronze")
-    return ingest.rebuild_batch(bronze, settings)
+    bronze = materialize(ingest.plan_ingest(fx.run_responses(spark, sf), settings, store=materialize).bronze, "bronze")
+    return ingest.rebuild_batch(bronze, settings, store=materialize)
 
 
 @register(

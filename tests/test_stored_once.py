@@ -35,3 +35,14 @@ def stored(monkeypatch):
 def test_silver_is_stored_without_a_shuffle(spark, folder, stored):
     assert catalog.stored_silver(spark, folder).count() == fixtures.rate_silver(spark, folder).count() == 59
     assert "Exchange" not in stored["silver"]
+
+
+@pytest.mark.parametrize("key", ["jb1_rebuild_from_bronze", "jb1_rebuild_small_payloads", "sc8_bronze_unnest"])
+def test_bodies_and_payloads_are_parsed_once(spark, folder, stored, key):
+    rows = catalog.QUERIES[key](spark, folder)
+    assert rows.count() > 0
+    assert "from_xml" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert stored["collected"].count("from_xml") > 0
+    if key != "sc8_bronze_unnest":
+        assert "from_xml" not in stored["bronze"]
+        assert "from_json" not in stored["classified"]
