@@ -22,8 +22,10 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: Exponent of a piece's weight; lower values make rarer segmentations likelier.
 ALPHA = 0.5
-#: Characters of text that a task works on at a time, and units whose lattices it remembers.
+#: Characters of text whose units a task looks up at a time, and units whose lattices it remembers.
 CHUNK_CHARS, CACHE = 1_000_000, 420_000
+#: Characters of text that a task draws segmentations of, and hands over, at a time.
+PART_CHARS = 250_000
 
 #: The mark for a space, and the shift in Zipf's law.
 MARK, SHIFT = "▁", 2.7
@@ -310,6 +312,7 @@ class TopK:
         self.units: list[np.ndarray] = []
         self.mass: list[np.ndarray] = []
         self.forks: list[tuple[float, _Node]] = []
+        self.chosen: tuple[float, _Node | None] | None = None
 
     def _seed(self, use: int, number: int) -> np.uint64:
         return np.uint64((self.seed * int(MULTIPLIERS[use]) + number * int(MULTIPLIERS[5])) % 2**64)
@@ -353,9 +356,18 @@ class TopK:
     def threshold(self) -> float:
         return self._best()[0]
 
+    def fork(self) -> int | None:
+        """The unit in which the next segmentation leaves one already found; None if there is no next.
+
+        Of the paths drawn anew for it, ``next`` reads those of later units only.
+        """
+        self.chosen = perturbed, node = self._best()
+        return None if node is None or perturbed == -np.inf else int(self.units[node.path][node.token])
+
     def next(self) -> bool:
         """Find one more segmentation; false if there is none."""
-        perturbed, node = self._best()
+        perturbed, node = self.chosen or self._best()
+        self.chosen = None
         if node is None or perturbed == -np.inf:
             return False
         number, lattice = len(self.paths), self.lattices
@@ -398,6 +410,10 @@ class TopK:
         self.first()
         while len(self.paths) < k and self.next():
             pass
+        return self.finished()
+
+    def finished(self) -> list[Sample]:
+        """The segmentations found, with their inclusion."""
         limit = self.threshold()
         for sample in self.paths:
             # the chance that a segmentation of this probability gets above the next one's maximum
@@ -473,22 +489,46 @@ def sampled_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, se
             lattices = _loaded[hash(vocabulary.weights.tobytes())] = Lattices(vocabulary)
         decoder = Decoder(vocabulary)
 
-        def encoded(rows: list[tuple[int | None, str]]) -> pa.RecordBatch:
+        def encoded(rows: list[tuple[int | None, str]]) -> Iterator[pa.RecordBatch]:
             units = [units_of(text, lattices.unit) for _, text in rows]
             counts = np.array([len(u) for u in units])
             nodes = lattices.nodes(list(chain.from_iterable(units)))
+            del units
+            begin = np.concatenate([[0], np.cumsum(counts)])
+            part = np.cumsum([len(text) for _, text in rows]) // PART_CHARS
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(rows)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield drawn(rows[a:b], counts[a:b], nodes[begin[a] : begin[b]])
+
+        def drawn(rows: list[tuple[int | None, str]], counts: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
             begin = np.concatenate([[0], np.cumsum(counts)])
             seeds = row_seeds([key for key, _ in rows], seed)
             place = np.arange(begin[-1]) - np.repeat(begin[:-1], counts)
             each = np.repeat(seeds, counts) + place.astype(np.uint64) * BASE
-            fresh = [lattices.paths(nodes, mixed(each + np.uint64(m) * MULTIPLIERS[2:3])) for m in range(k)]
+            edges, starts = lattices.paths(nodes, mixed(each))
+            searches = []
+            for i, (a, b) in enumerate(zip(begin, begin[1:], strict=False)):
+                searches.append(TopK(lattices, int(seeds[i]), [(edges[starts[a] : starts[b]], starts[a : b + 1] - starts[a])]))
+                searches[-1].first()
+            open_ = list(range(len(rows)))
+            for m in range(1, k):
+                # of a text's units only those behind its fork are drawn anew
+                forks = [(i, here) for i in open_ if (here := searches[i].fork()) is not None]
+                open_ = [i for i, _ in forks]
+                sizes = np.array([counts[i] - here - 1 for i, here in forks], dtype=np.int64)
+                ends = np.cumsum(sizes)
+                since = np.array([begin[i] + here + 1 for i, here in forks], dtype=np.int64)
+                where = np.arange(sizes.sum()) + np.repeat(since - ends + sizes, sizes)
+                edges, starts = lattices.paths(nodes[where], mixed(each[where] + np.uint64(m) * MULTIPLIERS[2:3]))
+                for (i, here), size, end in zip(forks, sizes, ends, strict=True):
+                    own = starts[end - size : end + 1]
+                    searches[i].fresh.append((edges[own[0] : own[-1]], np.concatenate([np.zeros(here + 1, dtype=np.int64), own - own[0]])))
+                    searches[i].next()
             out: list[tuple] = []
             ids: list[np.ndarray] = []
             texts: list[str] = []
-            for i, (key, text) in enumerate(rows):
-                a, b = begin[i], begin[i + 1]
-                own = [(edges[starts[a] : starts[b]], starts[a : b + 1] - starts[a]) for edges, starts in fresh]
-                for number, sample in enumerate(TopK(lattices, int(seeds[i]), own).run(k)):
+            for search, (key, text) in zip(searches, rows, strict=True):
+                for number, sample in enumerate(search.finished()):
                     found = ids_of(lattices, sample.edges)
                     ids.append(found)
                     out.append((key, number, len(found), sample.log_prob, sample.perturbed, sample.inclusion))
@@ -508,10 +548,10 @@ def sampled_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, se
                 held.append((key, text.as_py() or ""))
                 chars += len(held[-1][1]) + 100
                 if chars > CHUNK_CHARS:
-                    yield encoded(held)
+                    yield from encoded(held)
                     held, chars = [], 0
         if held:
-            yield encoded(held)
+            yield from encoded(held)
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, SCHEMA)
 
