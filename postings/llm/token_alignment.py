@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +23,19 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Code points of text a task holds before it hands over a batch.
 CHUNK_CHARS = 400_000
+#: Code points of the units of A whose ids a task remembers, and units it encodes at a time.
+CACHE_CHARS, UNITS_AT_ONCE = 3_000_000, 2_000
 #: Statistics of id pairs up to so many bytes are broadcast; beyond, they meet documents by a salted shuffle.
 BROADCAST_BYTES = 64_000_000
 PAIR_BYTES = 48
 SALTS = 16
+#: Parts that A encodes each by itself: none of its pre-tokens holds a blank behind another sign, so a text is
+#: cut ahead of a blank that stands behind none. What any Unicode version takes for a blank cuts nothing behind it.
+UNIT = r"\s*+[^ \t-\r]++(?:(?<=[\s\u180e])\s++[^ \t-\r]*+)*+|\s++"
 B_BITS = 16
+_BLANKS = " \t\n\v\f\r"
+#: Of so many values of a list one gallops from the place of the one before, the others from its place.
+STRIDE = 16
 
 PAIR = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("links", pa.int64())])
 ARROW = pa.schema(
@@ -82,6 +92,9 @@ class Encoders:
         self.b_bytes = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        self._unit = re.compile(UNIT)
+        self._known: dict[str, bytes] = {}
+        self._chars = 0
         self._batch = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
 
     def _piece_bytes(self, i: int) -> bytes:
@@ -92,27 +105,72 @@ class Encoders:
             return bytes([int(re.fullmatch(r"<0x([0-9A-Fa-f]{2})>", piece).group(1), 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self._batch([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts)
-        return a, b
-
-
-def galloping_common(short: list[int], long: list[int]) -> list[int]:
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
+        """Ids of space + text by A, each different unit encoded once, and of the text by B."""
+        units = [self._unit.findall(" " + t) for t in texts]
+        if self._chars > CACHE_CHARS:
+            self._known.clear()
+            self._chars = 0
+        new = list(set(chain.from_iterable(units)).difference(self._known))
+        self._learn(new)
+        a = [np.frombuffer(b"".join(map(self._known.__getitem__, u)), np.int32) for u in units]
+        return a, self.b.encode(texts)
+
+    def _learn(self, units: list[str]) -> None:
+        """Remember the ids of units by A, many encoded as one text where that cuts between any two."""
+        apart = [u for u in units if u[0] not in _BLANKS or u[-1].isspace() or u[-1] == "\u180e"]
+        beside = list(set(units).difference(apart))
+        for at in range(0, len(beside), UNITS_AT_ONCE):
+            part = beside[at : at + UNITS_AT_ONCE]
+            ids = np.array(self._batch(["".join(part)], add_special_tokens=False)[0].ids, np.int32)
+            want = np.cumsum([len(u.encode()) for u in part])
+            ends = np.cumsum(self.a_len[ids])
+            cuts = np.searchsorted(ends, want)
+            if ends[-1] != want[-1] or not np.array_equal(ends[cuts], want):
+                apart += part  # an entry is missing for some byte
+                continue
+            for unit, x, y in zip(part, [0, *(cuts + 1).tolist()], (cuts + 1).tolist(), strict=False):
+                self._known[unit] = ids[x:y].tobytes()
+        for unit, e in zip(apart, self._batch(apart, add_special_tokens=False), strict=True):
+            self._known[unit] = array("i", e.ids).tobytes()
+        self._chars += sum(map(len, units))
+
+
+def galloping_common(short: Sequence[int] | np.ndarray, long: Sequence[int] | np.ndarray) -> list[int]:
     """Values of both strictly increasing lists: each of the shorter is found in the longer by
-    exponential steps from the last place, then binary search inside the last step."""
-    out: list[int] = []
-    at, n = 0, len(long)
-    for x in short:
+    exponential steps from a place before it, then binary search inside the last step.
+
+    The first of every ``STRIDE`` values gallops from the place of the one before; the values up
+    to the next gallop from its place, all at once.
+    """
+    short, long = np.asarray(short, np.int64), np.asarray(long, np.int64)
+    if not len(short) or not len(long):
+        return []
+    heads, starts, at, n = short[::STRIDE].tolist(), [], 0, len(long)
+    held = long.tolist() if len(heads) * 16 > n else long
+    for x in heads:
         step = 1
-        while at + step < n and long[at + step] < x:
+        while at + step < n and held[at + step] < x:
             step <<= 1
-        at = bisect_left(long, x, at + (step >> 1), min(at + step + 1, n))
-        if at == n:
-            break
-        if long[at] == x:
-            out.append(x)
-    return out
+        at = bisect_left(held, x, at + (step >> 1), min(at + step + 1, n))
+        starts.append(at)
+    low = np.repeat(np.array(starts, np.int64), STRIDE)[: len(short)]
+    step = 1
+    high = np.minimum(low + 1, n)  # the value's place is from low to high
+    open_ = np.flatnonzero((high < n) & (long[np.minimum(high, n - 1)] < short))
+    while len(open_):
+        low[open_] = high[open_] + 1
+        step <<= 1
+        high[open_] = np.minimum(high[open_] + step, n)
+        open_ = open_[(high[open_] < n) & (long[np.minimum(high[open_], n - 1)] < short[open_])]
+    open_ = np.flatnonzero(low < high)
+    while len(open_):
+        middle = (low[open_] + high[open_]) >> 1
+        less = long[middle] < short[open_]
+        low[open_] = np.where(less, middle + 1, low[open_])
+        high[open_] = np.where(less, high[open_], middle)
+        open_ = open_[low[open_] < high[open_]]
+    return short[(low < n) & (long[np.minimum(low, n - 1)] == short)].tolist()
 
 
 @dataclass
@@ -128,21 +186,36 @@ class Alignment:
     links: np.ndarray
 
 
-def align(a_ids: list[int], b_ids: list[int], enc: Encoders, whole: bytes) -> Alignment | None:
+def _joined(ids: np.ndarray, ends: np.ndarray) -> str:
+    """Each id in decimal digits with its separator behind it; the last separator is left out."""
+    width = len(str(int(ids.max())))
+    shown = np.empty((len(ids), width + 1), np.uint8)
+    shown[:, width] = ends
+    rest = ids.astype(np.int32)
+    used = np.ones((len(ids), width + 1), bool)
+    for column in range(width - 1, -1, -1):
+        if column < width - 1:
+            used[:, column] = rest > 0
+        whole = rest // 10
+        shown[:, column] = rest - whole * 10 + ord("0")
+        rest = whole
+    return shown[used].tobytes()[:-1].decode("ascii")
+
+
+def align(a_ids: Sequence[int] | np.ndarray, b_ids: Sequence[int], enc: Encoders, whole: bytes) -> Alignment | None:
     """Groups and links of one text's two encodings, or None if either does not spell ``whole``."""
-    if not whole or not a_ids or not b_ids:
+    if not whole or not len(a_ids) or not len(b_ids):
         return None
     a_arr, b_arr = np.asarray(a_ids, np.int64), np.asarray(b_ids, np.int64)
     a_end, b_end = np.cumsum(enc.a_len[a_arr]), np.cumsum(enc.b_len[b_arr])
     if a_end[-1] != len(whole) or b_end[-1] != len(whole):
         return None
-    if b"".join(map(enc.a_bytes.__getitem__, a_ids)) != whole or b"".join(map(enc.b_bytes.__getitem__, b_ids)) != whole:
+    if b"".join(map(enc.a_bytes.__getitem__, a_arr.tolist())) != whole or b"".join(map(enc.b_bytes.__getitem__, b_ids)) != whole:
         return None
-    a_list, b_list = a_end.tolist(), b_end.tolist()
-    common = galloping_common(a_list, b_list) if len(a_list) <= len(b_list) else galloping_common(b_list, a_list)
+    common = galloping_common(a_end, b_end) if len(a_end) <= len(b_end) else galloping_common(b_end, a_end)
     cuts = np.asarray(common, np.int64)
-    a_group = np.searchsorted(cuts, a_end)  # a token's group: the first common end at or after its end
-    b_group = np.searchsorted(cuts, b_end)
+    # a token's group: the first common end at or after its end
+    a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
     groups = len(cuts)
     na = np.bincount(a_group, minlength=groups)
     nb = np.bincount(b_group, minlength=groups)
@@ -154,11 +227,15 @@ def align(a_ids: list[int], b_ids: list[int], enc: Encoders, whole: bytes) -> Al
     b_idx = b_start[a_group[a_rep]] + offset
     keys, links = np.unique((a_arr[a_rep] << B_BITS) | b_arr[b_idx], return_counts=True)
     # the groups as text: a ids by commas, a bar, b ids by commas; groups parted by semicolons
-    a_sep = np.where(np.r_[a_group[1:] != a_group[:-1], True], "|", ",")
-    b_sep = np.where(np.r_[b_group[1:] != b_group[:-1], True], ";", ",")
-    order = np.lexsort((np.r_[np.arange(len(a_ids)), np.arange(len(b_ids))], np.r_[np.zeros(len(a_ids)), np.ones(len(b_ids))], np.r_[a_group, b_group]))
-    ids = np.r_[a_arr, b_arr].astype(str)[order]
-    text = "".join(np.char.add(ids, np.r_[a_sep, b_sep][order]).tolist())[:-1]
+    places = np.empty(len(a_ids) + len(b_ids), np.int64)
+    places[: len(a_ids)] = np.arange(len(a_ids)) + b_start[a_group]
+    places[len(a_ids) :] = np.arange(len(b_ids)) + np.cumsum(na)[b_group]
+    ids, ends = np.empty(len(places), np.int64), np.empty(len(places), np.uint8)
+    ids[places] = np.concatenate([a_arr, b_arr])
+    a_sep = np.where(np.append(a_group[1:] != a_group[:-1], True), ord("|"), ord(","))
+    b_sep = np.where(np.append(b_group[1:] != b_group[:-1], True), ord(";"), ord(","))
+    ends[places] = np.concatenate([a_sep, b_sep])
+    text = _joined(ids, ends)
     return Alignment(len(a_ids), len(b_ids), groups, int(np.dot(na, nb)), text, keys, links.astype(np.int64))
 
 

@@ -45,6 +45,23 @@ def plain(texts):
     return out
 
 
+@needs_tables
+def test_each_unit_is_encoded_once_as_in_whole_texts(monkeypatch):
+    enc = ta.Vocabularies.read().encoders()
+    rng = random.Random(3)
+    signs = [*" \t\n\r\x0b\x0c\x1c\x85\xa0\u180e\u2003\u3000\u200b", "  ", "a", "b", "the", "'s", "'ll", "1", "\u00b2", "\u00e9", "\u65e5\u672c", "\U0001f600", "!", "..", "<|endoftext|>", "\u0301"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 14))) for _ in range(4000)] + ["the same words again and again " * 50] * 20
+    want = [e.ids for e in enc.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    given = []
+    real = enc._batch
+    monkeypatch.setattr(enc, "_batch", lambda part, **kw: given.extend(map(len, part)) or real(part, **kw))
+    a, _ = enc.encode(texts)
+    assert [x.tolist() for x in a] == want
+    assert sum(given) < sum(map(len, texts)) - 19 * len(texts[-1])
+    monkeypatch.setattr(ta, "CACHE_CHARS", 10)
+    assert [x.tolist() for part in (texts[:100], texts[100:200]) for x in enc.encode(part)[0]] == want[:200]
+
+
 @needs_tables
 def test_query_matches_nested_loops(spark):
     rows = pq.read_table(f"{FOLDER}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
