@@ -8,7 +8,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import BLANK, let
+from .text import BLANK, let, replaced
 
 # Spellings that are unified before parsing, in this order.
 SPELLINGS = (
@@ -59,7 +59,7 @@ def hourly_rate(text: Column) -> Column:
     """
     unified = F.lower(text)
     for spelling, plain in SPELLINGS:
-        unified = F.replace(unified, F.lit(spelling), F.lit(plain))
+        unified = replaced(unified, spelling, plain)
 
     def rate(low: Column, high: Column) -> Column:
         return F.struct(low.alias("hourly_min"), high.alias("hourly_max"))

@@ -37,7 +37,13 @@ def _after(text: Column, prefix: Column, skip: int = 0) -> Column:
 
 def _readable(url: Column) -> Column:
     """What URL parsers see: no leading controls or spaces, no tabs or line ends."""
-    return F.translate(F.ltrim(url, F.lit(_CONTROL_OR_SPACE)), "\t\r\n", "")
+
+    def readable(text: Column) -> Column:
+        # Nearly all URLs are readable as they are; "!" is the first character behind the blanks.
+        marred = (text < "!") | text.contains("\t") | text.contains("\r") | text.contains("\n")
+        return F.when(marred, F.translate(F.ltrim(text, F.lit(_CONTROL_OR_SPACE)), "\t\r\n", "")).otherwise(text)
+
+    return let(url, readable)
 
 
 def host(url: Column) -> Column:

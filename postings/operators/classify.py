@@ -12,7 +12,7 @@ from ..functions.rates import hourly_rate
 from ..functions.text import REJECTED_CONTENT_CHARS, combined_text, first_non_empty, or_empty, result_id
 from ..functions.urls import canonical_url, domain_allowed
 from ..schemas import GOLD, REJECTED, SILVER
-from .dedupe import flag_first
+from .dedupe import first_claims, flag_claimed
 from .providers import DOMAIN_NOT_ALLOWED, DUPLICATE_URL, MISSING_URL
 
 DEFAULT_MODE = "search"
@@ -66,19 +66,33 @@ def url_reject_reason(clean_url: Column, domains: Sequence[str] | Column) -> Col
     return F.when(clean_url == "", MISSING_URL).when(~domain_allowed(clean_url, domains), DOMAIN_NOT_ALLOWED)
 
 
+def url_claims(
+    results: DataFrame,
+    domains: Sequence[str] | Column,
+    order: Sequence[str] = RUN_ORDER,
+    row_key: Sequence[str] = ROW_KEY,
+) -> DataFrame:
+    """The first acceptable row of each URL in run order; needs ``clean_url``, ``order`` and the domains only."""
+    judged = results.withColumn("reason", url_reject_reason(F.col("clean_url"), domains))
+    return first_claims(judged, ["clean_url"], order, row_key, F.col("reason").isNull())
+
+
 def classify(
     results: DataFrame,
     domains: Sequence[str] | Column,
     order: Sequence[str] = RUN_ORDER,
     row_key: Sequence[str] = ROW_KEY,
+    claims: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``reason``: missing url, domain not allowed, duplicate url, or NULL if accepted.
 
     ``results`` carry ``clean_url``; the first acceptable row of a URL in run order is
-    accepted and rows rejected for other reasons do not claim their URL.
+    accepted and rows rejected for other reasons do not claim their URL. ``claims`` are the
+    :func:`url_claims` of the same results, if they are at hand.
     """
+    claims = url_claims(results, domains, order, row_key) if claims is None else claims
     judged = results.withColumn("reason", url_reject_reason(F.col("clean_url"), domains))
-    flagged = flag_first(judged, ["clean_url"], order, row_key, F.col("reason").isNull())
+    flagged = flag_claimed(judged, claims, ["clean_url"], row_key)
     reason = F.when(F.col("reason").isNull() & ~F.col("is_first"), DUPLICATE_URL).otherwise(F.col("reason"))
     return flagged.withColumn("reason", reason).drop("is_first")
 

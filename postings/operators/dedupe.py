@@ -27,16 +27,34 @@ def flag_first(
     ``order`` ranks the rows; with ``row_key``, which must be unique and part of
     ``order``, the rank has no ties. Keys are not NULL. Ineligible rows never claim a
     key. The input is computed twice, once with the key and order columns only, so
-    start from stored rows.
+    start from stored rows, or find the claims on narrow rows and flag the wide ones.
     """
+    return flag_claimed(rows, first_claims(rows, keys, order, row_key, eligible, flag), keys, row_key, flag)
+
+
+def first_claims(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    row_key: Sequence[str],
+    eligible: Column,
+    flag: str = "is_first",
+) -> DataFrame:
+    """``keys``, ``row_key`` and ``flag`` (True) of the first eligible row of each key."""
     # A condition inside the aggregate, not a filter below it: the optimizer would push a
     # filter through every projection and compute what it tests once more per mention.
-    firsts = (
+    return (
         rows.groupBy(*keys)
         .agg(F.min(F.when(eligible, F.struct(*order))).alias("first"))
         .where(F.col("first").isNotNull())
         .select(*keys, *(F.col("first")[name].alias(name) for name in row_key), F.lit(True).alias(flag))
     )
+
+
+def flag_claimed(
+    rows: DataFrame, firsts: DataFrame, keys: Sequence[str], row_key: Sequence[str], flag: str = "is_first"
+) -> DataFrame:
+    """Add ``flag``: True for the rows that :func:`first_claims` named, else False."""
     # The row key spreads the join; with the keys beside it a row meets at most one
     # winner, so a row key that is not unique after all cannot multiply rows.
     flagged = rows.join(firsts, [*row_key, *keys], "left").select(*rows.columns, flag)

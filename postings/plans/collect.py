@@ -127,8 +127,16 @@ def payload_input(collected: DataFrame) -> DataFrame:
     )
 
 
+PLACE = ("provider", "provider_ord", "mode_ord", "query_ord", "response_id")
+
+
 def explode_items(collected: DataFrame) -> DataFrame:
     """One row per item with its place in run order."""
-    return unnest(
-        collected, ("provider", "provider_ord", "mode_ord", "query_ord", "response_id"), F.col("items")
-    )
+    return unnest(collected, PLACE, F.col("items"))
+
+
+def explode_urls(collected: DataFrame) -> DataFrame:
+    """The same with ``pos, url, reject_reason`` only, so that a stored table's texts are not read."""
+    names = ("pos", "url", "reject_reason")
+    fields = collected.select(*PLACE, *(F.col("items")[name].alias(name) for name in names))
+    return unnest(fields, PLACE, F.arrays_zip(*names))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import provider_funnel, run_totals
@@ -19,6 +19,7 @@ from ..operators.classify import (
     normalize,
     rejected_rows,
     silver_rows,
+    url_claims,
     with_clean_url,
 )
 from ..operators.dedupe import first_per_key
@@ -41,25 +42,37 @@ from ..sinks.tables import (
     write_run,
 )
 from ..sources.scans import scan_payloads
-from .collect import collect_responses, explode_items, payload_input, quarantine
+from .collect import collect_responses, explode_items, explode_urls, payload_input, quarantine
 
 PROVIDER_STAGE, INGEST_STAGE = "provider", "ingest"
 #: Bytes of text that a bucket of a first silver version is meant to hold.
 BUCKET_BYTES = 200_000_000
 
 
+#: Up to so many bytes, measured, the claims on URLs are broadcast, so that results are not shuffled.
+BROADCAST_BYTES = 20_000_000
+
+
 class EmptyRun(RuntimeError):
     """A run without bronze rows or without silver rows."""
 
 
-def results_of(collected: DataFrame) -> DataFrame:
-    """Provider-accepted items as normalised results with their canonical URL."""
-    items = explode_items(collected).where(F.col("reject_reason").isNull())
+def accepted_items(items: DataFrame) -> DataFrame:
+    """Items that their provider accepted, with their source and canonical URL."""
+    accepted = items.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return with_clean_url(accepted.withColumn("source", F.col("provider")))
+
+
+def results_of(items: DataFrame) -> DataFrame:
+    """Classified items as normalised results. The raw JSON is only made for the rows in use."""
     provider = F.col("provider")
-    results = normalize(
-        items.withColumn("source", provider), provider, provider, F.lit(DEFAULT_MODE), keep=RUN_ORDER
-    )
-    return with_clean_url(results)
+    return normalize(items, provider, provider, F.lit(DEFAULT_MODE), keep=(*RUN_ORDER, "clean_url", "reason"))
+
+
+def within_broadcast(claims: DataFrame) -> bool:
+    """The claims are few and short enough to be sent to all tasks."""
+    size = F.sum(F.octet_length("clean_url") + F.lit(100))
+    return claims.agg(F.coalesce(size, F.lit(0))).first()[0] <= BROADCAST_BYTES
 
 
 def batch_of(classified: DataFrame, settings: RunSettings) -> DataFrame:
@@ -92,10 +105,28 @@ class Outputs:
     def bronze(self) -> DataFrame:
         return bronze_of(self.collected, self.settings)
 
+    @cached_property
+    def domains(self) -> Column:
+        return allowlist(self.settings.providers, self.settings.site_filters, F.col("source"))
+
+    @cached_property
+    def urls(self) -> DataFrame:
+        return self.store(accepted_items(explode_urls(self.collected)), "urls")
+
+    @cached_property
+    def claims(self) -> DataFrame:
+        claims = self.store(url_claims(self.urls, self.domains), "claims")
+        return F.broadcast(claims) if within_broadcast(claims) else claims
+
     @cached_property
     def classified(self) -> DataFrame:
-        domains = allowlist(self.settings.providers, self.settings.site_filters, F.col("source"))
-        return self.store(classify(results_of(self.collected), domains), "classified")
+        items = accepted_items(explode_items(self.collected))
+        return results_of(self.store(classify(items, self.domains, claims=self.claims), "classified"))
+
+    @cached_property
+    def reasons(self) -> DataFrame:
+        """Provider and reason of each result, as ``classified`` has them, from the URLs alone."""
+        return classify(self.urls, self.domains, claims=self.claims).select("provider", "reason")
 
     @cached_property
     def batch(self) -> DataFrame:
@@ -115,12 +146,12 @@ class Outputs:
     @cached_property
     def totals(self) -> DataFrame:
         return run_totals(
-            self.bronze.select("run_id"), self.classified.select("reason"), self.quarantine.select("response_id")
+            self.bronze.select("run_id"), self.reasons.select("reason"), self.quarantine.select("response_id")
         )
 
     @cached_property
     def funnel(self) -> DataFrame:
-        return provider_funnel(self.classified.select("provider", "reason"))
+        return provider_funnel(self.reasons)
 
 
 def plan_ingest(responses: DataFrame, settings: RunSettings, store=lambda df, name: df) -> Outputs:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings.functions.rates import hourly_rate
+from postings.functions.text import replaced
 from postings.schemas import RESPONSES, SILVER
 from postings.settings import PROVIDERS, RunSettings
 from postings.sources.tables import read_table
@@ -149,7 +150,7 @@ def _last_per_key(rows: DataFrame) -> DataFrame:
 
 def escaped(text: Column) -> Column:
     for plain, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(plain), F.lit(reference))
+        text = replaced(text, plain, reference)
     return text
 
 
@@ -174,15 +175,16 @@ def item_content(doc: Column, text: Column) -> Column:
 
 def rss_document(doc: Column, text: Column) -> Column:
     """An RSS 2.0 feed with one item per line of a document."""
+    # Texts are escaped as a whole, which adds and drops no line end.
     items = F.transform(
-        document_lines(text),
+        document_lines(escaped(text)),
         lambda t, i: F.concat(
             F.lit("<item><title>doc "),
             doc.cast("string"),
             F.lit("</title><link>"),
             escaped(item_url(doc, i)),
             F.lit("</link><description>"),
-            escaped(item_content(doc, t)),
+            item_content(doc, t),
             F.when(i % 2 == 0, F.concat(F.lit("</description><pubDate>day "), i, F.lit("</pubDate></item>"))).otherwise(
                 "</description></item>"
             ),
@@ -194,7 +196,7 @@ def rss_document(doc: Column, text: Column) -> Column:
 
 def atom_entries(doc: Column, text: Column, namespace: str) -> Column:
     entries = F.transform(
-        document_lines(text),
+        document_lines(escaped(text)),
         lambda t, i: F.concat(
             F.lit(f'<entry{namespace}><title type="html">doc '),
             doc.cast("string"),
@@ -202,7 +204,7 @@ def atom_entries(doc: Column, text: Column, namespace: str) -> Column:
             escaped(item_url(doc, i)),
             F.lit('"/><link href="second"/>'),
             F.when(i % 3 == 0, F.lit("<summary></summary><content>")).otherwise("<summary>"),
-            escaped(t),
+            t,
             F.when(i % 3 == 0, F.lit("</content>")).otherwise("</summary><content>unused</content>"),
             F.when(i % 2 == 0, F.lit("<published>p</published>")).otherwise(""),
             F.lit("<updated>u</updated></entry>"),
