@@ -37,8 +37,9 @@ def _first(texts: Column) -> Column:
     return or_empty(F.get(texts, F.lit(0)))
 
 
-def _rss_item(item: Column) -> Column:
+def _rss_item(item: Column, pos: Column) -> Column:
     return F.struct(
+        pos.alias("pos"),
         _first(item["title"]).alias("title"),
         _first(item["link"]).alias("url"),
         _first(item["description"]).alias("content"),
@@ -46,8 +47,9 @@ def _rss_item(item: Column) -> Column:
     )
 
 
-def _atom_item(entry: Column) -> Column:
+def _atom_item(entry: Column, pos: Column) -> Column:
     return F.struct(
+        pos.alias("pos"),
         _first(entry["title"]).alias("title"),
         or_empty(F.get(entry["link"], F.lit(0))["_href"]).alias("url"),
         first_non_empty(_first(entry["summary"]), _first(entry["content"])).alias("content"),
@@ -63,7 +65,7 @@ def _without_prefix(xml: Column) -> Column:
         F.concat(F.lit("xmlns:"), prefix, F.lit("=")),
         F.lit("xmlns="),
     )
-    return F.when(prefix != "", plain).otherwise(xml)
+    return F.when(xml.contains(":feed"), F.when(prefix != "", plain).otherwise(xml)).otherwise(xml)
 
 
 _REST = r"""(?:[^>"']++|"[^"]*"|'[^']*')*+>"""
@@ -152,7 +154,7 @@ def _struct(item: Column | None = None, entry: Column | None = None) -> Column:
     return F.struct(*((none if given[n] is None else F.coalesce(given[n], none)).alias(n) for n, none in empty.items()))
 
 
-#: A version other than 1.0, which an element by itself would not be parsed by.
+#: A version other than 1.0, which an element by itself would not be parsed by; told ahead of the first ``>``.
 _NOT_1_0 = r"""^\s*<\?xml\s+version\s*=\s*["'](?!1\.0["'])"""
 
 
@@ -176,20 +178,19 @@ def _plain(text: Column, parsed: Column) -> Column:
         n = F.coalesce(F.size(children["item"]), F.lit(0)) + F.coalesce(F.size(children["entry"]), F.lit(0))
         return (F.size(tags) == n) & F.forall(tags, lambda t: t.isin("<item", "<entry"))
 
-    def of_kind(children: Column, spaces: Column) -> Column:
+    def told(children: Column, spaces: Column) -> Column:
         own = F.filter(children["entry"], lambda e: e["_xmlns"].isNotNull())
-        told = F.coalesce(F.size(own), F.lit(0)) + parsed["_xmlns"].isNotNull().cast("int")
-        around = or_empty(parsed["_xmlns"])
-        entries = F.filter(children["entry"], lambda e: F.coalesce(e["_xmlns"], around) == ATOM)
-        plain = (F.size(spaces) == told) & F.forall(spaces, lambda s: F.endswith(s, F.lit("xmlns")))
-        return F.when(plain, _struct(F.when(around == "", children["item"]), entries))
-
-    def chosen(children: Column) -> Column:
-        tags = F.regexp_extract_all(text, F.lit(r"(?i)<(?:[^\s<>/:]*+:)?(?:item|entry)(?=[\s/>])"), F.lit(0))
-        whole = children.isNotNull() & ~text.rlike(_NOT_1_0) & let(tags, lambda t: counted(children, t))
-        return F.when(whole, let(declared, lambda spaces: of_kind(children, spaces)))
-
-    return let(of_one, chosen)
+        n = F.coalesce(F.size(own), F.lit(0)) + parsed["_xmlns"].isNotNull().cast("int")
+        return (F.size(spaces) == n) & F.forall(spaces, lambda s: F.endswith(s, F.lit("xmlns")))
+
+    # Only tests are bound: what a ``let`` gives is copied, and the children are the whole feed.
+    tags = F.regexp_extract_all(text, F.lit(r"(?i)<(?:[^\s<>/:]*+:)?(?:item|entry)(?=[\s/>])"), F.lit(0))
+    whole = of_one.isNotNull() & ~F.substring_index(text, ">", 1).rlike(_NOT_1_0) & let(tags, lambda t: counted(of_one, t))
+    around = or_empty(parsed["_xmlns"])
+    entries = F.filter(of_one["entry"], lambda e: F.coalesce(e["_xmlns"], around) == ATOM)
+    return F.when(
+        whole & let(declared, lambda spaces: told(of_one, spaces)), _struct(F.when(around == "", of_one["item"]), entries)
+    )
 
 
 def _elements(text: Column) -> Column:
@@ -244,12 +245,13 @@ def parse_feed(xml: Column) -> Column:
 
     def assemble(text: Column, parsed: Column) -> Column:
         usable = parsed["_malformed"].isNull()
-        found = F.when(usable, let(_plain(text, parsed), lambda plain: F.when(plain.isNotNull(), plain).otherwise(_elements(text))))
-        found = F.coalesce(found, _struct())
-        merged = let(found, lambda e: F.concat(F.transform(e["item"], _rss_item), F.transform(e["entry"], _atom_item)))
-        items = F.transform(
-            merged,
-            lambda x, i: F.struct(i.alias("pos"), x["title"], x["url"], x["content"], x["published"]),
+        found = F.coalesce(F.when(usable, F.coalesce(_plain(text, parsed), _elements(text))), _struct())
+        items = let(
+            found,
+            lambda e: F.concat(
+                F.transform(e["item"], _rss_item),
+                F.transform(e["entry"], lambda x, i: _atom_item(x, i + F.size(e["item"]))),
+            ),
         )
         return F.struct(parsed["_malformed"].alias("malformed"), items.alias("items"))
 
